@@ -39,7 +39,7 @@ def registered() -> dict[str, Query]:
 
 
 def rounded(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: F.round(f"`{c}`", ROUND) for c in columns})
+    return df.selectExpr(*[f"round(`{c}`, {ROUND}) AS `{c}`" if c in columns else f"`{c}`" for c in df.columns])
 
 
 def _means(df: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def _model(spark: SparkSession, sf: str, **options) -> DataFrame:
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     hour = F.hour("ts")
     return roles.table(spark, sf, "events").select(
-        "event_id", F.to_date("ts").alias("date"), hour.alias("hour"), tc.hour_period(hour).alias("hour_period")
+        "event_id", F.to_date("ts").alias("date"), hour.alias("hour"), tc.hour_period("hour(ts)").alias("hour_period")
     )
 
 
@@ -136,13 +136,13 @@ def hour_period(spark, sf):
 @query
 def parse_trip_time(spark, sf):
     return roles.trip(spark, sf).select(
-        "trip_id", "starttime", tc.parse_time(F.col("starttime")).alias("starttime_dt")
+        "trip_id", "starttime", tc.parse_time("starttime").alias("starttime_dt")
     )
 
 
 @query
 def parse_weather_time(spark, sf):
-    return roles.weather(spark, sf).select("datetime", tc.parse_time(F.col("datetime")).alias("parsed"), "tempi")
+    return roles.weather(spark, sf).select("datetime", tc.parse_time("datetime").alias("parsed"), "tempi")
 
 
 @query
@@ -152,27 +152,27 @@ def calendar_parts(spark, sf):
         "date",
         F.hour("o_orderdate").alias("hour"),
         F.weekofyear("date").alias("week_of_year"),
-        tc.weekday(F.col("date")).alias("weekday"),
+        F.weekday("date").alias("weekday"),
     )
 
 
 @query
 def profile_key(spark, sf):
-    key = tc.profile_key(F.col("date"), F.col("hour_period"))
+    key = tc.profile_key("date", "hour_period")
     return _events(spark, sf).select("event_id", key.alias("weekday_hour_period"))
 
 
 @query
 def grid_key(spark, sf):
-    key = tc.grid_key(F.col("date"), F.col("hour_period"))
+    key = tc.grid_key("date", "hour_period")
     keyed = _events(spark, sf).select("event_id", key.alias("date_hour_period"))
-    day, period = tc.split_grid_key(F.col("date_hour_period"))
+    day, period = tc.split_grid_key("date_hour_period")
     return keyed.withColumns({"date": day, "hour_period": period})
 
 
 @query
 def business_day(spark, sf):
-    return _orders(spark, sf).select("o_orderkey", "date", tc.is_business_day(F.col("date")).alias("business_day"))
+    return _orders(spark, sf).select("o_orderkey", "date", tc.is_business_day("date").alias("business_day"))
 
 
 @query
@@ -189,7 +189,7 @@ def date_window(spark, sf):
 
 @query
 def date_range(spark, sf):
-    return _orders(spark, sf).select("o_orderkey", F.explode(tc.dates_ending(F.col("date"), 5)).alias("date"))
+    return _orders(spark, sf).select("o_orderkey", F.explode(tc.dates_ending("date", 5)).alias("date"))
 
 
 @query

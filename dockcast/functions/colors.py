@@ -13,7 +13,7 @@ PALETTE = [
 ]
 
 
-def cluster_color(label: Column) -> Column:
+def cluster_color(label: str) -> Column:
     """Colour of a label; labels beyond the palette start over."""
-    names = F.array(*[F.lit(c) for c in PALETTE])
-    return F.element_at(names, (F.pmod(label, F.lit(len(PALETTE))) + 1).cast("int"))
+    names = ", ".join(f"'{c}'" for c in PALETTE)
+    return F.expr(f"element_at(array({names}), cast(pmod({label}, {len(PALETTE)}) + 1 AS int))")

@@ -1,4 +1,7 @@
-"""Date, time and key columns; all of them built-in expressions."""
+"""Date, time and key columns; all of them built-in expressions.
+
+Arguments are column names or SQL expressions.
+"""
 
 from __future__ import annotations
 
@@ -25,80 +28,75 @@ FLOATING_HOLIDAYS = [
 ]
 
 
-def hour_period(hour: Column) -> Column:
+def hour_period(hour: str) -> Column:
     """Four-hour bucket label of an hour; hour 0 closes the last bucket of its own date."""
-    slot = F.floor(((hour + 23) % 24) / 4).cast("int") + 1
-    return F.element_at(F.array(*[F.lit(p) for p in HOUR_PERIODS]), slot)
+    labels = ", ".join(f"'{p}'" for p in HOUR_PERIODS)
+    return F.expr(f"element_at(array({labels}), cast(({hour} + 23) % 24 div 4 + 1 AS int))")
 
 
-def parse_time(text: Column) -> Column:
+def parse_time(text: str) -> Column:
     """Text to ``timestamp_ntz``: ``M/d/yyyy H:mm[:ss]`` or any ISO form; other text raises.
 
     The month-first form is turned into ISO order so that one cast serves both.
     """
-    iso = F.regexp_replace(F.trim(text), r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
-    parsed = iso.try_cast("timestamp_ntz")
-    bad = F.when(text.isNotNull(), F.raise_error(F.concat(F.lit("cannot parse time: "), text)))
-    return F.coalesce(parsed, bad.cast("timestamp_ntz"))
-
+    iso = rf"regexp_replace(trim({text}), r'^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})', '$3-$1-$2')"
+    bad = f"CASE WHEN {text} IS NOT NULL THEN cast(raise_error(concat('cannot parse time: ', {text})) AS timestamp_ntz) END"
+    return F.expr(f"coalesce(try_cast({iso} AS timestamp_ntz), {bad})")
 
-def weekday(day: Column) -> Column:
-    """Monday = 0."""
-    return F.weekday(day)
 
+def profile_key(day: str, period: str) -> Column:
+    """``<weekday>_<bucket>``, Monday being 0; null if a part is null."""
+    return F.expr(f"concat(cast(weekday({day}) AS string), '_', {period})")
 
-def profile_key(day: Column, period: Column) -> Column:
-    """``<weekday>_<bucket>``; null if a part is null."""
-    return F.concat(F.weekday(day).cast("string"), F.lit("_"), period)
 
-
-def grid_key(day: Column, period: Column) -> Column:
+def grid_key(day: str, period: str) -> Column:
     """``yyyy-MM-dd_<bucket>``; null if a part is null."""
-    return F.concat(F.date_format(day, DATE_FORMAT), F.lit("_"), period)
+    return F.expr(f"concat(date_format({day}, '{DATE_FORMAT}'), '_', {period})")
 
 
-def split_grid_key(key: Column) -> tuple[Column, Column]:
+def split_grid_key(key: str) -> tuple[Column, Column]:
     """Inverse of :func:`grid_key`: (date, bucket)."""
-    parts = F.split(key, "_")
-    return F.to_date(parts[0], DATE_FORMAT), parts[1]
+    return F.expr(f"to_date(split({key}, '_')[0], '{DATE_FORMAT}')"), F.expr(f"split({key}, '_')[1]")
 
 
-def is_business_day(day: Column, juneteenth: bool = False) -> Column:
-    """Monday to Friday and not a US federal holiday.
+def business_day_sql(day: str, juneteenth: bool = False) -> str:
+    """Condition: Monday to Friday and not a US federal holiday.
 
     A fixed holiday on Saturday is kept on the Friday before, one on Sunday on the
     Monday after. For a working day this means: it is a fixed holiday, or a Friday
     before one, or a Monday after one.
     """
-    wd, dom, mon, yr = F.weekday(day), F.dayofmonth(day), F.month(day), F.year(day)
-
-    def fixed(d: Column) -> Column:
-        code = F.month(d) * 100 + F.dayofmonth(d)
-        hit = code.isin(FIXED_HOLIDAYS)
-        if juneteenth:
-            hit = hit | ((code == JUNETEENTH) & (F.year(d) >= JUNETEENTH_FROM))
-        return hit
-
-    off = (
-        fixed(day)
-        | ((wd == 4) & fixed(F.date_add(day, 1)))
-        | ((wd == 0) & fixed(F.date_sub(day, 1)))
+    codes = ", ".join(map(str, FIXED_HOLIDAYS))
+
+    def fixed(d: str) -> str:
+        code = f"month({d}) * 100 + day({d})"
+        hit = f"{code} IN ({codes})"
+        return f"({hit} OR ({code} = {JUNETEENTH} AND year({d}) >= {JUNETEENTH_FROM}))" if juneteenth else f"({hit})"
+
+    floating = " OR ".join(
+        f"(month({day}) = {month} AND weekday({day}) = {on} AND day({day}) BETWEEN {first} AND {last}"
+        + (f" AND year({day}) >= {since})" if since > 1 else ")")
+        for month, on, first, last, since in FLOATING_HOLIDAYS
+    )
+    return (
+        f"(weekday({day}) < 5 AND NOT ({fixed(day)} OR {floating}"
+        f" OR (weekday({day}) = 4 AND {fixed(f'date_add({day}, 1)')})"
+        f" OR (weekday({day}) = 0 AND {fixed(f'date_sub({day}, 1)')})))"
     )
-    for month, on, first, last, since in FLOATING_HOLIDAYS:
-        hit = (mon == month) & (wd == on) & dom.between(first, last)
-        off = off | (hit if since <= 1 else hit & (yr >= since))
-    return (wd < 5) & ~off
+
+
+def is_business_day(day: str, juneteenth: bool = False) -> Column:
+    """:func:`business_day_sql` as a column."""
+    return F.expr(business_day_sql(day, juneteenth))
 
 
 def with_calendar(df: DataFrame, day: str = "date", juneteenth: bool = False) -> DataFrame:
-    """Add week_of_year, weekday and business_day of a date column."""
-    d = F.col(day)
-    return df.withColumns(
-        {
-            "week_of_year": F.weekofyear(d),
-            "weekday": weekday(d),
-            "business_day": is_business_day(d, juneteenth),
-        }
+    """Add week_of_year, weekday (Monday = 0) and business_day of a date column."""
+    return df.selectExpr(
+        "*",
+        f"weekofyear({day}) AS week_of_year",
+        f"weekday({day}) AS weekday",
+        f"{business_day_sql(day, juneteenth)} AS business_day",
     )
 
 
@@ -106,12 +104,12 @@ def business_calendar(df: DataFrame, day: str = "date", juneteenth: bool = False
     """All business days between the first and the last date of a table."""
     span = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
     days = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date"))
-    return days.filter(is_business_day(F.col("date"), juneteenth))
+    return days.filter(is_business_day("date", juneteenth))
 
 
-def dates_ending(end: Column, periods: int) -> Column:
+def dates_ending(end: str, periods: int) -> Column:
     """Array of ``periods`` consecutive dates, the last one being ``end``."""
-    return F.sequence(F.date_sub(end, periods - 1), end, F.expr("interval 1 day"))
+    return F.expr(f"sequence(date_sub({end}, {periods - 1}), {end}, interval 1 day)")
 
 
 def forecast_dates(end: date, days: int) -> list[date]:

@@ -13,14 +13,17 @@ from dockcast.schemas import MISSING_TEXT, TRIP_UNUSED, WEATHER_METRIC_UNITS, WE
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Floating NaN becomes NULL, so that comparisons and aggregates skip it."""
-    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.selectExpr(*[f"nanvl(`{c}`, NULL) AS `{c}`" if c in floats else f"`{c}`" for c in df.columns])
 
 
 def missing_text_to_null(df: DataFrame) -> DataFrame:
     """The spellings of a missing cell in text columns become NULL."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.when(~F.col(c).isin(MISSING_TEXT), F.col(c)) for c in texts})
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    spelled = ", ".join(f"'{t}'" for t in MISSING_TEXT)
+    return df.selectExpr(
+        *[f"CASE WHEN `{c}` NOT IN ({spelled}) THEN `{c}` END AS `{c}`" if c in texts else f"`{c}`" for c in df.columns]
+    )
 
 
 def drop_weather_columns(weather: DataFrame) -> DataFrame:
@@ -64,9 +67,9 @@ def null_report(df: DataFrame, raise_on_null: bool = False) -> DataFrame:
 
     With ``raise_on_null`` the returned plan fails when run on a table with nulls.
     """
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count")) for c in df.columns])
-    report = counts.select(F.inline(pairs))
+    counts = df.agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in df.columns])
+    pairs = ", ".join(f"struct('{c}' AS column_name, `{c}` AS null_count)" for c in df.columns)
+    report = counts.selectExpr(f"inline(array({pairs}))")
     if raise_on_null:
         message = F.concat(F.lit("find na in dataframe: "), F.col("column_name"))
         checked = F.when(F.col("null_count") == 0, F.col("null_count")).otherwise(F.raise_error(message).cast("long"))

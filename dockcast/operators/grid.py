@@ -89,19 +89,20 @@ def backfill(axis: DataFrame, order: list[str], columns: list[str], wrap: bool =
     the whole axis, which is what follows the last bucket when the filled table lists one
     station after the other.
     """
-    back = W.orderBy(*[F.col(c).desc() for c in order]).rowsBetween(W.unboundedPreceding, 0)
+    backwards = ", ".join(f"{c} DESC" for c in order)
+    frame = f"(ORDER BY {backwards} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     kept = [c for c in axis.columns if c not in columns]
-    filled = axis.select(*kept, *[F.last(c, ignorenulls=True).over(back).alias(c) for c in columns])
+    filled = axis.selectExpr(*kept, *[f"last({c}, true) OVER {frame} AS {c}" for c in columns])
     if not wrap:
         return filled
     # After the fill the first row holds the first known value of every column.
-    return filled.withColumns(
-        {f"_head_{c}": F.min_by(c, F.struct(*order)).over(W.partitionBy()) for c in columns}
-    )
+    first = f"struct({', '.join(order)})"
+    return filled.selectExpr("*", *[f"min_by({c}, {first}) OVER () AS _head_{c}" for c in columns])
 
 
 def close_trailing_gap(grid: DataFrame, columns: list[str], station: str = "s_sta_id") -> DataFrame:
     """Use the ``_head_`` companions of :func:`backfill` for all but the last station."""
-    more = F.col(station) < F.col("_last_station")
-    values = {c: F.coalesce(F.col(c), F.when(more, F.col(f"_head_{c}"))) for c in columns}
-    return grid.withColumns(values).drop("_last_station", *[f"_head_{c}" for c in columns])
+    helpers = {"_last_station", *[f"_head_{c}" for c in columns]}
+    kept = [c for c in grid.columns if c not in helpers and c not in columns]
+    more = f"{station} < _last_station"
+    return grid.selectExpr(*kept, *[f"coalesce({c}, CASE WHEN {more} THEN _head_{c} END) AS {c}" for c in columns])

@@ -27,8 +27,10 @@ def row_share(visits: DataFrame) -> DataFrame:
 
 def wide_row_share(wide: DataFrame, columns: list[str]) -> DataFrame:
     """Wide form of :func:`row_share`; the sum stays within the row."""
-    summed = wide.withColumn("_sum", sum((F.col(f"`{c}`") for c in columns[1:]), F.col(f"`{columns[0]}`")))
-    return summed.withColumns({c: F.try_divide(F.col(f"`{c}`"), F.col("_sum")) for c in columns}).drop("_sum")
+    total = " + ".join(f"`{c}`" for c in columns)
+    kept = [f"`{c}`" for c in wide.columns if c not in columns]
+    summed = wide.selectExpr("*", f"{total} AS _sum")
+    return summed.selectExpr(*kept, *[f"try_divide(`{c}`, _sum) AS `{c}`" for c in columns])
 
 
 def one_hot(

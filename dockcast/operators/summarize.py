@@ -25,12 +25,12 @@ def group_summary(
     """
     exprs = []
     for c in min_max_mean or []:
-        exprs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.avg(c).alias(f"{c}_mean")]
-    exprs += [F.max(c).alias(c) for c in max_only or []]
-    exprs += [F.min(c).alias(c) for c in min_only or []]
+        exprs += [f"min({c}) AS {c}_min", f"max({c}) AS {c}_max", f"avg({c}) AS {c}_mean"]
+    exprs += [f"max({c}) AS {c}" for c in max_only or []]
+    exprs += [f"min({c}) AS {c}" for c in min_only or []]
     if not exprs:
         raise ValueError("no column to summarise")
-    return df.na.drop("any", subset=keys).groupBy(*keys).agg(*exprs)
+    return df.na.drop("any", subset=keys).groupBy(*keys).agg(*map(F.expr, exprs))
 
 
 def visit_count(trips: DataFrame) -> DataFrame:

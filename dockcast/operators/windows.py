@@ -17,13 +17,13 @@ def lag_flags(daily: DataFrame, by: str = "rows") -> DataFrame:
     where dates are missing.
     """
     if by == "rows":
-        run = W.orderBy("date")
-        return daily.withColumns(
-            {
-                f"{flag}_{hours}": F.lag(flag, n).over(run)
+        return daily.selectExpr(
+            "*",
+            *[
+                f"lag({flag}, {n}) OVER (ORDER BY date) AS {flag}_{hours}"
                 for n, hours in LAG_HOURS.items()
                 for flag in LAGGED_FLAGS
-            }
+            ],
         )
     if by != "calendar":
         raise ValueError(f"by must be 'rows' or 'calendar', not {by!r}")

@@ -51,10 +51,10 @@ def _cells(data: DataFrame, labels: DataFrame, features: list[str], label_field:
     """Long form (cell, feature, value): one row per cell and feature, missing values 0."""
     member = with_cluster(data, labels)
     wanted = dict.fromkeys([*features, label_field])
-    sums = member.groupBy(*CELL).agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in wanted])
-    named = [F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in features]
-    named.append(F.struct(F.lit("label").alias("feature"), F.col(label_field).alias("value")))
-    return sums.select(*CELL, F.inline(F.array(*named))).na.fill({"value": 0.0})
+    sums = member.groupBy(*CELL).agg(*[F.expr(f"sum(cast({c} AS double)) AS {c}") for c in wanted])
+    named = [f"struct('{f}' AS feature, {f} AS value)" for f in features]
+    named.append(f"struct('label' AS feature, {label_field} AS value)")
+    return sums.selectExpr(*CELL, f"inline(array({', '.join(named)}))").na.fill({"value": 0.0})
 
 
 def episodes_long(
@@ -111,7 +111,7 @@ def episodes_nested(
         *group, "date", "hour_period", F.col("_cells.s_sta_id").alias("stations"), F.col("_cells.value").alias("row")
     )
     rows = _to_episodes(vectors, forecast_date, episode_len, label_day_len, train_days, test_days)
-    keyed = rows.withColumn("bucket", grid_key(F.col("date"), F.col("hour_period")))
+    keyed = rows.withColumn("bucket", grid_key("date", "hour_period"))
     by_time = F.array_sort(F.collect_list(F.struct("bucket", "row")))
     tensor = keyed.groupBy("split", "episode_end", *group).agg(by_time.alias("_rows"), F.first("stations").alias("stations"))
     return tensor.select(

@@ -15,15 +15,15 @@ STATION_TABLE_EXTRAS = ("lat", "lon")
 def build_trips(trips: DataFrame, juneteenth: bool = False) -> DataFrame:
     """Prepared trips: one row per trip, no shuffle."""
     filled = fill_mean(fill_constants(drop_trip_columns(trips)), "birthyear")
-    timed = filled.withColumn("starttime_dt", parse_time(F.col("starttime")))
+    timed = filled.withColumn("starttime_dt", parse_time("starttime"))
     parts = timed.withColumns(
         {
             "date": F.to_date("starttime_dt"),
             "hour": F.hour("starttime_dt"),
-            "hour_period": hour_period(F.hour("starttime_dt")),
+            "hour_period": hour_period("hour(starttime_dt)"),
         }
     )
-    keyed = parts.withColumn("weekday_hour_period", profile_key(F.col("date"), F.col("hour_period")))
+    keyed = parts.withColumn("weekday_hour_period", profile_key("date", "hour_period"))
     return with_calendar(keyed, juneteenth=juneteenth)
 
 

@@ -22,11 +22,9 @@ class WeatherTables(NamedTuple):
 def clean_weather(weather: DataFrame) -> DataFrame:
     """Valid readings with date, hour and bucket."""
     valid = valid_readings(drop_weather_columns(weather))
-    timed = valid.withColumn("precipi", clip_lower(F.col("precipi"), 0.0)).withColumn(
-        "datetime", parse_time(F.col("datetime"))
-    )
+    timed = valid.withColumns({"precipi": clip_lower(F.col("precipi"), 0.0), "datetime": parse_time("datetime")})
     return timed.withColumns(
-        {"date": F.to_date("datetime"), "hour": F.hour("datetime"), "hour_period": hour_period(F.hour("datetime"))}
+        {"date": F.to_date("datetime"), "hour": F.hour("datetime"), "hour_period": hour_period("hour(datetime)")}
     )
 
 
