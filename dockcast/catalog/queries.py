@@ -54,9 +54,13 @@ def _joined(spark: SparkSession, sf: str) -> DataFrame:
     return join_stations(_trips(spark, sf), roles.station(spark, sf))
 
 
+def _bound(spark: SparkSession, sf: str) -> int:
+    return demand.axis_bound(roles.table(spark, sf, "events"), "ts")
+
+
 def _grid(spark: SparkSession, sf: str) -> DataFrame:
     counts = demand.bucket_counts(_trips(spark, sf), roles.station(spark, sf))
-    return densify(counts, ["s_sta_id"], demand.BUCKET, "trip_count")
+    return densify(counts, ["s_sta_id"], demand.BUCKET, "trip_count", axis_rows=_bound(spark, sf))
 
 
 def _period(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,7 +72,9 @@ def _visits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, sf: str, **options) -> DataFrame:
-    return demand.build_model_data(_trips(spark, sf), roles.station(spark, sf), _period(spark, sf), **options)
+    return demand.build_model_data(
+        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), axis_rows=_bound(spark, sf), **options
+    )
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +93,7 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def demand_grid(spark, sf):
-    return demand.demand_grid(_trips(spark, sf), roles.station(spark, sf))
+    return demand.demand_grid(_trips(spark, sf), roles.station(spark, sf), _bound(spark, sf))
 
 
 @query
@@ -117,7 +123,9 @@ def trip_count_od_period(spark, sf):
 
 @query
 def trip_count_station_period(spark, sf):
-    return summarize.count_trips(_joined(spark, sf), 6, station=roles.station(spark, sf))
+    return summarize.count_trips(
+        _joined(spark, sf), 6, station=roles.station(spark, sf), axis_rows=_bound(spark, sf)
+    )
 
 
 @query
@@ -403,14 +411,16 @@ def target_shift(spark, sf):
 @query
 def backfill_weather(spark, sf):
     filled = demand.grid_with_weather(
-        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), wrap=False
+        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), wrap=False, axis_rows=_bound(spark, sf)
     )
     return _means(filled)
 
 
 @query
 def grid_weather_join(spark, sf):
-    joined = demand.grid_with_weather(_trips(spark, sf), roles.station(spark, sf), _period(spark, sf), fill=False)
+    joined = demand.grid_with_weather(
+        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), fill=False, axis_rows=_bound(spark, sf)
+    )
     return _means(joined)
 
 

@@ -27,7 +27,7 @@ def time_axis(counts: DataFrame, time: list[str], value: str, **whole_axis_max:
     seen = counts.groupBy(*time).agg(F.sum(value).alias("_total"), *tops)
     return seen.select(
         *time,
-        (F.row_number().over(W.orderBy(*time, "_total")) - 1).alias("_pos"),
+        (F.row_number().over(W.orderBy(*time, "_total")) - 1).cast("int").alias("_pos"),
         F.count(F.lit(1)).over(everything).cast("int").alias("_size"),
         *[F.max(name).over(everything).alias(name) for name in whole_axis_max],
     )
@@ -50,15 +50,17 @@ def densify(
 
     ``axis`` may carry further columns of the time axis (for example weather), which are
     then returned too. ``axis_rows`` is a known bound of its length (days times buckets of
-    a time window): below the broadcast limit the axis is broadcast and the dense rows
-    never move. Without a bound Spark picks the join from the sizes it meets.
+    a time window): up to the broadcast limit the axis is broadcast and the dense rows
+    never move. Beyond it, or without a bound, both joins are merge joins: the size seen
+    before the gaps are filled says nothing about the dense rows, so Spark must not
+    broadcast that side on its own.
     """
     if axis is None:
         axis = time_axis(counts, time, value)
-    known_small = axis_rows is not None and axis_rows <= MAX_BROADCAST_ROWS
-    fit = F.broadcast if known_small else (lambda df: df)
+    small = axis_rows is not None and axis_rows <= MAX_BROADCAST_ROWS
+    join_hint = "broadcast" if small else "merge"
 
-    placed = counts.join(fit(axis.select(*time, *AXIS_COLUMNS)), time)
+    placed = counts.join(axis.select(*time, *AXIS_COLUMNS).hint(join_hint), time)
     run = W.partitionBy(*entity).orderBy("_pos")
     spans = placed.select(
         *entity,
@@ -76,7 +78,7 @@ def densify(
         F.when(F.col("_pos") == F.col("_at"), F.col("_value")).otherwise(F.lit(0)).alias(value),
     )
     extra = [c for c in axis.columns if c not in (*time, *AXIS_COLUMNS)]
-    return cells.join(fit(axis.drop("_size")), "_pos").select(*entity, *time, value, *extra)
+    return cells.join(axis.drop("_size").hint(join_hint), "_pos").select(*entity, *time, value, *extra)
 
 
 def backfill(axis: DataFrame, order: list[str], columns: list[str], wrap: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockcast.functions.timecols import with_calendar
+from dockcast.operators.cleaning import known
 from dockcast.operators.grid import densify
 from dockcast.operators.joins import lookup_join, with_prefix
 
@@ -30,13 +31,13 @@ def group_summary(
     exprs += [f"min({c}) AS {c}" for c in min_only or []]
     if not exprs:
         raise ValueError("no column to summarise")
-    return df.na.drop("any", subset=keys).groupBy(*keys).agg(*map(F.expr, exprs))
+    return known(df, keys).groupBy(*keys).agg(*map(F.expr, exprs))
 
 
 def visit_count(trips: DataFrame) -> DataFrame:
     """Visits per (station, weekday and bucket) with a known start time."""
     return (
-        trips.na.drop("any", subset=["from_station_id", "weekday_hour_period"])
+        known(trips, ["from_station_id", "weekday_hour_period"])
         .groupBy("from_station_id", "weekday_hour_period")
         .agg(F.count("starttime").alias("visit_count"))
     )
@@ -69,6 +70,7 @@ def count_trips(
     mode: int = 6,
     dense: bool | None = None,
     station: DataFrame | None = None,
+    axis_rows: int | None = None,
 ) -> DataFrame:
     """Trip count at one of six granularities, with the calendar columns of the date.
 
@@ -80,12 +82,12 @@ def count_trips(
     """
     grain = GRANULARITIES[mode]
     counts = (
-        trip_station.na.drop("any", subset=grain.keys)
+        known(trip_station, grain.keys)
         .groupBy(*grain.keys)
         .agg(F.count("starttime").alias("trip_count"))
     )
     if dense if dense is not None else mode == 6:
-        counts = densify(counts, list(grain.stations), list(grain.time), "trip_count")
+        counts = densify(counts, list(grain.stations), list(grain.time), "trip_count", axis_rows=axis_rows)
     out = with_calendar(counts)
     if station is not None:
         for role in grain.stations:

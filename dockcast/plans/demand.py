@@ -6,14 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockcast.functions.timecols import with_calendar
+from dockcast.operators.cleaning import known
 from dockcast.operators.grid import backfill, close_trailing_gap, densify, time_axis
 from dockcast.operators.joins import is_small, lookup_join
 from dockcast.operators.reshape import one_hot
-from dockcast.schemas import ONE_HOT_PERIODS, WEATHER_COLUMNS
+from dockcast.schemas import HOUR_PERIODS, ONE_HOT_PERIODS, WEATHER_COLUMNS
 
 BUCKET = ["date", "hour_period"]
 
 
+def axis_bound(df: DataFrame, day: str = "date") -> int:
+    """Most buckets the time axis of a table can have; one aggregate over its date column.
+
+    A caller that has cut the trips to a window knows this without looking.
+    """
+    days = df.agg((F.datediff(F.max(day), F.min(day)) + 1).alias("days")).first()["days"]
+    return (days or 0) * len(HOUR_PERIODS)
+
+
 def bucket_counts(trips: DataFrame, station: DataFrame) -> DataFrame:
     """Trips per (start station, date, bucket), both stations known.
 
@@ -21,7 +31,7 @@ def bucket_counts(trips: DataFrame, station: DataFrame) -> DataFrame:
     they are first counted per pair of stations and bucket, so that only counts are
     shuffled to the stations and a busy station is already condensed.
     """
-    needed = trips.na.drop("any", subset=["from_station_id", *BUCKET])
+    needed = known(trips, ["from_station_id", "to_station_id", *BUCKET])
     ids = station.select("sta_id")
     start, end = ids.withColumnRenamed("sta_id", "s_sta_id"), ids.withColumnRenamed("sta_id", "t_sta_id")
     small = is_small(ids)
@@ -31,9 +41,9 @@ def bucket_counts(trips: DataFrame, station: DataFrame) -> DataFrame:
     else:
         rows = needed.groupBy("from_station_id", "to_station_id", *BUCKET).agg(F.count("starttime").alias("trips"))
         counted = F.sum("trips")
-    known = lookup_join(rows, start, "from_station_id", "s_sta_id", small=small)
-    known = lookup_join(known, end, "to_station_id", "t_sta_id", small=small)
-    return known.groupBy("s_sta_id", *BUCKET).agg(counted.alias("trip_count"))
+    joined = lookup_join(rows, start, "from_station_id", "s_sta_id", small=small)
+    joined = lookup_join(joined, end, "to_station_id", "t_sta_id", small=small)
+    return joined.groupBy("s_sta_id", *BUCKET).agg(counted.alias("trip_count"))
 
 
 def demand_grid(trips: DataFrame, station: DataFrame, axis_rows: int | None = None) -> DataFrame:
