@@ -14,6 +14,7 @@ PALETTE = [
 
 
 def cluster_color(label: str) -> Column:
-    """Colour of a label; labels beyond the palette start over."""
+    """Colour of a label; labels beyond the palette start over, null stays null."""
     names = ", ".join(f"'{c}'" for c in PALETTE)
-    return F.expr(f"element_at(array({names}), cast(pmod({label}, {len(PALETTE)}) + 1 AS int))")
+    spot = f"cast(pmod({label}, {len(PALETTE)}) + 1 AS int)"
+    return F.expr(f"CASE WHEN {label} IS NOT NULL THEN element_at(array({names}), {spot}) END")

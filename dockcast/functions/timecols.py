@@ -29,9 +29,13 @@ FLOATING_HOLIDAYS = [
 
 
 def hour_period(hour: str) -> Column:
-    """Four-hour bucket label of an hour; hour 0 closes the last bucket of its own date."""
+    """Four-hour bucket label of an hour; hour 0 closes the last bucket of its own date.
+
+    The null check is needed: with a constant array ``element_at`` does not see a null index.
+    """
     labels = ", ".join(f"'{p}'" for p in HOUR_PERIODS)
-    return F.expr(f"element_at(array({labels}), cast(({hour} + 23) % 24 div 4 + 1 AS int))")
+    slot = f"cast(({hour} + 23) % 24 div 4 + 1 AS int)"
+    return F.expr(f"CASE WHEN {hour} IS NOT NULL THEN element_at(array({labels}), {slot}) END")
 
 
 def parse_time(text: str) -> Column:
