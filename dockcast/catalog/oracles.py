@@ -356,6 +356,11 @@ FROM model m JOIN station_labels l ON m.s_sta_id = l.sta_id JOIN ends e ON m.dat
         *_WEATHER_JOINED, MODEL, LABELS_SQL, episodes,
         body=f"SELECT * REPLACE (round(value, {ROUND}) AS value), {split} FROM episodes",
     )
+    q["episodes_nested_cells"] = _with(
+        *_WEATHER_JOINED, MODEL, LABELS_SQL, episodes,
+        body=f"""SELECT cluster, episode_end, feature, s_sta_id, strftime(date, '%Y-%m-%d') || '_' || hour_period AS bucket,
+  round(value, {ROUND}) AS value, {split} FROM episodes""",
+    )
     q["target_shift"] = _with(
         *GRIDDED,
         body="""SELECT * FROM (SELECT *, lag(trip_count, 6) OVER (PARTITION BY s_sta_id ORDER BY date, hour_period)

@@ -403,6 +403,16 @@ def episodes_nested(spark, sf):
     return episodes.episodes_nested(data, roles.labels(spark, sf), **_EPISODES)
 
 
+@query
+def episodes_nested_cells(spark, sf):
+    """The matrices taken apart again: one row per time, station and feature."""
+    nested = episodes_nested(spark, sf)
+    keys = ["cluster", "split", "episode_end", "feature"]
+    times = nested.select(*keys, "stations", F.inline(F.arrays_zip("buckets", "matrix")))
+    cells = times.select(*keys, F.col("buckets").alias("bucket"), F.inline(F.arrays_zip("stations", "matrix")))
+    return rounded(cells.toDF(*keys, "bucket", "s_sta_id", "value"), ["value"])
+
+
 @query
 def target_shift(spark, sf):
     return windows.target_shift(_grid(spark, sf), 6)
