@@ -14,8 +14,17 @@ from pyspark.sql import functions as F
 from dockcast.schemas import WEATHER_METRIC_UNITS, WEATHER_MOSTLY_INVALID
 
 
+# Declared, so that no job has to look at the files while a plan is built.
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def counted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,57 +33,53 @@ def counted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def station(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").select(
-        key.alias("sta_id"),
-        (key * 3).alias("trip_ct"),
-        (key + 100).alias("ct_popn"),
-        F.col("s_acctbal").alias("avg_median_income"),
-        F.col("s_nationkey").cast("long").alias("num_biz"),
-        (F.col("s_nationkey").cast("long") + 1).alias("num_bss"),
-        (key + 7).alias("total_cap"),
-        (key % 5).alias("num_school"),
-        (key % 3).alias("num_park"),
-        (F.col("s_acctbal") / 2).alias("total_park_area"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS sta_id",
+        "s_suppkey * 3 AS trip_ct",
+        "s_suppkey + 100 AS ct_popn",
+        "s_acctbal AS avg_median_income",
+        "cast(s_nationkey AS long) AS num_biz",
+        "cast(s_nationkey AS long) + 1 AS num_bss",
+        "s_suppkey + 7 AS total_cap",
+        "s_suppkey % 5 AS num_school",
+        "s_suppkey % 3 AS num_park",
+        "s_acctbal / 2 AS total_park_area",
     )
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, k = F.col("value"), F.col("k")
     flag = {"fog": 10, "rain": 20, "snow": 50, "hail": 80, "thunder": 100, "tornado": 150}
-    good = (F.col("event_type") == "error") & (k < 20)
-    return counted_events(spark, sf_dir).select(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
-        v.alias("tempi"),
-        (v * 0.5).alias("dewpti"),
-        k.cast("double").alias("hum"),
-        (v - 1.0).alias("wspdi"),
-        (k * 3.0).alias("wdird"),
-        (k * 0.25).alias("visi"),
-        F.when(good, v + 900.0).otherwise(F.lit(-9999.0)).alias("pressurei"),
-        F.when(k % 5 == 0, None).when(k % 5 == 1, -9999.0).otherwise(v * 0.125).alias("precipi"),
-        *[(v > bound).cast("int").alias(name) for name, bound in flag.items()],
-        *[v.alias(c) for c in WEATHER_METRIC_UNITS + WEATHER_MOSTLY_INVALID],
-        F.col("event_type").alias("conds"),
-        F.lit("N").alias("wdire"),
+    return counted_events(spark, sf_dir).selectExpr(
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS datetime",
+        "value AS tempi",
+        "value * 0.5D AS dewpti",
+        "cast(k AS double) AS hum",
+        "value - 1D AS wspdi",
+        "k * 3D AS wdird",
+        "k * 0.25D AS visi",
+        "CASE WHEN event_type = 'error' AND k < 20 THEN value + 900D ELSE -9999D END AS pressurei",
+        "CASE WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN -9999D ELSE value * 0.125D END AS precipi",
+        *[f"cast(value > {bound} AS int) AS {name}" for name, bound in flag.items()],
+        *[f"value AS {c}" for c in WEATHER_METRIC_UNITS + WEATHER_MOSTLY_INVALID],
+        "event_type AS conds",
+        "'N' AS wdire",
     )
 
 
 def trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("k")
-    return counted_events(spark, sf_dir).select(
-        F.col("event_id").alias("trip_id"),
-        F.date_format("ts", "MM/dd/yyyy HH:mm:ss").alias("starttime"),
-        F.date_format(F.col("ts") + F.expr("interval 10 minutes"), "MM/dd/yyyy HH:mm:ss").alias("stoptime"),
-        (k + 1000).alias("bikeid"),
-        F.col("value").alias("tripduration"),
-        F.col("user_id").alias("from_station_id"),
-        F.concat(F.lit("station "), F.col("user_id").cast("string")).alias("from_station_name"),
-        k.alias("to_station_id"),
-        F.concat(F.lit("station "), k.cast("string")).alias("to_station_name"),
-        F.nullif("event_type", F.lit("view")).alias("usertype"),
-        F.when(k % 3 == 1, "M").when(k % 3 == 2, "F").alias("gender"),
-        F.when(k % 7 != 0, k + 1900.0).alias("birthyear"),
+    return counted_events(spark, sf_dir).selectExpr(
+        "event_id AS trip_id",
+        "date_format(ts, 'MM/dd/yyyy HH:mm:ss') AS starttime",
+        "date_format(ts + interval 10 minutes, 'MM/dd/yyyy HH:mm:ss') AS stoptime",
+        "k + 1000 AS bikeid",
+        "value AS tripduration",
+        "user_id AS from_station_id",
+        "concat('station ', user_id) AS from_station_name",
+        "k AS to_station_id",
+        "concat('station ', k) AS to_station_name",
+        "nullif(event_type, 'view') AS usertype",
+        "CASE WHEN k % 3 = 1 THEN 'M' WHEN k % 3 = 2 THEN 'F' END AS gender",
+        "CASE WHEN k % 7 <> 0 THEN k + 1900D END AS birthyear",
     )
 
 
