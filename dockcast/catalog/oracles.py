@@ -262,6 +262,18 @@ FROM grid g JOIN (SELECT CAST(unnest(generate_series(DATE '2024-01-15', DATE '20
 GROUP BY ALL""",
     )
     q["visit_count"] = _with(*TRIPS, VISITS, body="SELECT * FROM visits")
+    q["station_activity"] = _with(
+        *TRIPS,
+        body="""SELECT from_station_id, date, hour_period, starttime_dt = CAST(date AS TIMESTAMP) AS at_midnight,
+  count(starttime) AS visits, count(s.sta_id) AS known_trips
+FROM prepared p LEFT JOIN station s ON p.to_station_id = s.sta_id GROUP BY ALL""",
+    )
+    q["activity_counts"] = _with(
+        *TRIPS,
+        body=f"""SELECT s.sta_id AS s_sta_id, date, hour_period, count(starttime) AS trip_count
+FROM prepared p JOIN station s ON p.from_station_id = s.sta_id JOIN station t ON p.to_station_id = t.sta_id
+WHERE {window} GROUP BY ALL""",
+    )
     q["group_summary"] = f"""SELECT o_orderpriority, o_orderstatus, min(o_totalprice) AS o_totalprice_min,
   max(o_totalprice) AS o_totalprice_max, round(avg(o_totalprice), {ROUND}) AS o_totalprice_mean,
   max(o_custkey) AS o_custkey, min(o_orderdate) AS o_orderdate

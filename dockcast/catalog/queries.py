@@ -58,9 +58,12 @@ def _bound(spark: SparkSession, sf: str) -> int:
     return demand.axis_bound(roles.table(spark, sf, "events"), "ts")
 
 
+def _counts(spark: SparkSession, sf: str) -> DataFrame:
+    return demand.bucket_counts(_trips(spark, sf), roles.station(spark, sf))
+
+
 def _grid(spark: SparkSession, sf: str) -> DataFrame:
-    counts = demand.bucket_counts(_trips(spark, sf), roles.station(spark, sf))
-    return densify(counts, ["s_sta_id"], demand.BUCKET, "trip_count", axis_rows=_bound(spark, sf))
+    return densify(_counts(spark, sf), ["s_sta_id"], demand.BUCKET, "trip_count", axis_rows=_bound(spark, sf))
 
 
 def _period(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,7 +274,7 @@ def cluster_rows(spark, sf):
 @query
 def episode_dates(spark, sf):
     cells = _grid(spark, sf).withColumn("feature", F.lit("trip_count"))
-    rows = episodes._to_episodes(cells, date(2024, 1, 28), 7, 1, 8, 5)
+    rows = episodes.to_episodes(cells, date(2024, 1, 28), 7, 1, 8, 5)
     return rows.groupBy("episode_end", "date").agg(
         F.count(F.lit(1)).alias("cells"), F.sum("trip_count").alias("trip_count")
     )
@@ -280,6 +283,18 @@ def episode_dates(spark, sf):
 # --- summaries -----------------------------------------------------------------------
 
 
+@query
+def station_activity(spark, sf):
+    return demand.station_activity(_trips(spark, sf), roles.station(spark, sf))
+
+
+@query
+def activity_counts(spark, sf):
+    activity = demand.station_activity(_trips(spark, sf), roles.station(spark, sf))
+    window = demand.activity_window(activity, date(2024, 1, 20), 10, 1)
+    return demand.activity_counts(window, roles.station(spark, sf))
+
+
 @query
 def visit_count(spark, sf):
     return _visits(spark, sf)
@@ -421,7 +436,7 @@ def target_shift(spark, sf):
 @query
 def backfill_weather(spark, sf):
     filled = demand.grid_with_weather(
-        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), wrap=False, axis_rows=_bound(spark, sf)
+        _counts(spark, sf), _period(spark, sf), wrap=False, axis_rows=_bound(spark, sf)
     )
     return _means(filled)
 
@@ -429,7 +444,7 @@ def backfill_weather(spark, sf):
 @query
 def grid_weather_join(spark, sf):
     joined = demand.grid_with_weather(
-        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), fill=False, axis_rows=_bound(spark, sf)
+        _counts(spark, sf), _period(spark, sf), fill=False, axis_rows=_bound(spark, sf)
     )
     return _means(joined)
 

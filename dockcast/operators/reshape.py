@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from dockcast.schemas import PROFILE_KEYS
 
 
+MAX_VALUES = 1000
+
+
 def profile_pivot(visits: DataFrame, keys: list[str] = PROFILE_KEYS) -> DataFrame:
     """Station × (weekday, bucket) visit counts, zero where there was no visit.
 
@@ -39,10 +42,12 @@ def one_hot(
     """0/1 column per value; a null value gives zeros everywhere.
 
     ``names`` maps values to column names. Without it the values are looked up (one
-    distinct job; meant for columns with few values) and name their columns.
+    distinct job) and name their columns; more than ``MAX_VALUES`` values are refused.
     """
     if names is None:
-        found = df.select(column).na.drop().distinct().orderBy(column).collect()
+        found = df.select(column).na.drop().distinct().orderBy(column).limit(MAX_VALUES + 1).collect()
+        if len(found) > MAX_VALUES:
+            raise ValueError(f"column {column} has more than {MAX_VALUES} values; declare the wanted ones")
         names = {row[0]: str(row[0]) for row in found}
     out = df.withColumns({n: F.col(column).eqNullSafe(F.lit(v)).cast("int") for v, n in names.items()})
     return out.drop(column) if remove_original else out

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.functions.timecols import with_calendar
+from dockcast.functions.timecols import profile_key, with_calendar
 from dockcast.operators.cleaning import known
 from dockcast.operators.grid import backfill, close_trailing_gap, densify, time_axis
 from dockcast.operators.joins import is_small, lookup_join
@@ -46,6 +48,56 @@ def bucket_counts(trips: DataFrame, station: DataFrame) -> DataFrame:
     return joined.groupBy("s_sta_id", *BUCKET).agg(counted.alias("trip_count"))
 
 
+def station_activity(trips: DataFrame, station: DataFrame) -> DataFrame:
+    """Trips condensed to (start station, date, bucket), enough for every forecast date.
+
+    ``visits`` counts all trips, ``known_trips`` those that end at a known station.
+    ``at_midnight`` keeps the trips at 00:00:00 apart, so a window whose last instant is a
+    midnight can be cut from this table exactly. However many dates are forecast, the trips
+    are read once.
+    """
+    needed = known(trips, ["from_station_id", *BUCKET]).withColumn(
+        "at_midnight", F.expr("starttime_dt = cast(date AS timestamp_ntz)")
+    )
+    keys = ["from_station_id", *BUCKET, "at_midnight"]
+    ends = station.select(F.col("sta_id").alias("t_sta_id"))
+    small = is_small(ends)
+    if small:
+        rows = needed.select(*keys, "to_station_id", F.col("starttime").isNotNull().cast("long").alias("_n"))
+    else:
+        rows = needed.groupBy(*keys, "to_station_id").agg(F.count("starttime").alias("_n"))
+    flagged = lookup_join(rows, ends, "to_station_id", "t_sta_id", "left", small=small)
+    return flagged.groupBy(*keys).agg(
+        F.sum("_n").alias("visits"), F.expr("coalesce(sum(_n) FILTER (WHERE t_sta_id IS NOT NULL), 0)").alias("known_trips")
+    )
+
+
+def activity_window(
+    activity: DataFrame, forecast_date: date, trace_back_days: int, test_days: int, closed: str = "both"
+) -> DataFrame:
+    """The part of an activity table that lies in the time window of a forecast date."""
+    low, high = forecast_date - timedelta(days=trace_back_days), forecast_date + timedelta(days=test_days)
+    inside = F.col("date") < F.lit(high)
+    if closed == "both":
+        inside = inside | ((F.col("date") == F.lit(high)) & F.col("at_midnight"))
+    elif closed != "left":
+        raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
+    return activity.filter((F.col("date") >= F.lit(low)) & inside)
+
+
+def activity_counts(activity: DataFrame, station: DataFrame) -> DataFrame:
+    """The same as :func:`bucket_counts`, from an activity table."""
+    start = station.select(F.col("sta_id").alias("s_sta_id"))
+    started = lookup_join(activity.filter("known_trips > 0"), start, "from_station_id", "s_sta_id")
+    return started.groupBy("s_sta_id", *BUCKET).agg(F.sum("known_trips").alias("trip_count"))
+
+
+def activity_visits(activity: DataFrame) -> DataFrame:
+    """Visits per (station, weekday and bucket), from an activity table."""
+    keyed = activity.withColumn("weekday_hour_period", profile_key("date", "hour_period"))
+    return keyed.groupBy("from_station_id", "weekday_hour_period").agg(F.sum("visits").alias("visit_count"))
+
+
 def demand_grid(trips: DataFrame, station: DataFrame, axis_rows: int | None = None) -> DataFrame:
     """Dense grid: every observed start station at every observed bucket, zero-filled."""
     counts = bucket_counts(trips, station)
@@ -53,19 +105,17 @@ def demand_grid(trips: DataFrame, station: DataFrame, axis_rows: int | None = No
 
 
 def grid_with_weather(
-    trips: DataFrame,
-    station: DataFrame,
+    counts: DataFrame,
     weather_period: DataFrame,
     wrap: bool = True,
     fill: bool = True,
     axis_rows: int | None = None,
 ) -> DataFrame:
-    """Dense grid with the weather of its bucket, gaps filled from the next bucket.
+    """Dense grid of bucket counts with the weather of its bucket, gaps filled from the next bucket.
 
     The grid is dense and weather depends on the bucket alone, so weather is joined and
     filled on the short time axis and reaches the stations together with the bucket.
     """
-    counts = bucket_counts(trips, station)
     last = {"_last_station": "s_sta_id"} if wrap and fill else {}
     axis = time_axis(counts, BUCKET, "trip_count", **last)
     axis = axis.join(weather_period.select(*BUCKET, *WEATHER_COLUMNS), BUCKET, "left")
@@ -94,5 +144,16 @@ def build_model_data(
     the history, for all stations but the last, as a backward fill over a table sorted by
     station does; ``wrap=False`` leaves it null.
     """
-    grid = grid_with_weather(trips, station, weather_period, wrap, axis_rows=axis_rows)
+    return model_from_counts(bucket_counts(trips, station), weather_period, wrap, keep_period, axis_rows)
+
+
+def model_from_counts(
+    counts: DataFrame,
+    weather_period: DataFrame,
+    wrap: bool = True,
+    keep_period: bool = False,
+    axis_rows: int | None = None,
+) -> DataFrame:
+    """:func:`build_model_data` for trips already counted per bucket."""
+    grid = grid_with_weather(counts, weather_period, wrap, axis_rows=axis_rows)
     return one_hot(grid, "hour_period", ONE_HOT_PERIODS, remove_original=not keep_period)

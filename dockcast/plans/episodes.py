@@ -23,7 +23,7 @@ def _ends(first: Column, last: Column, low: date, high: date) -> Column:
     )
 
 
-def _to_episodes(
+def to_episodes(
     cells: DataFrame,
     forecast_date: date,
     episode_len: int,
@@ -74,7 +74,7 @@ def episodes_long(
     the ``train_days`` days before those. The label starts on the day after the end.
     """
     cells = _cells(data, labels, features, label_field)
-    rows = _to_episodes(cells, forecast_date, episode_len, label_day_len, train_days, test_days)
+    rows = to_episodes(cells, forecast_date, episode_len, label_day_len, train_days, test_days)
     return rows.select("cluster", "split", "episode_end", "feature", "s_sta_id", "date", "hour_period", "value")
 
 
@@ -110,7 +110,7 @@ def episodes_nested(
     vectors = vectors.select(
         *group, "date", "hour_period", F.col("_cells.s_sta_id").alias("stations"), F.col("_cells.value").alias("row")
     )
-    rows = _to_episodes(vectors, forecast_date, episode_len, label_day_len, train_days, test_days)
+    rows = to_episodes(vectors, forecast_date, episode_len, label_day_len, train_days, test_days)
     keyed = rows.withColumn("bucket", grid_key("date", "hour_period"))
     by_time = F.array_sort(F.collect_list(F.struct("bucket", "row")))
     tensor = keyed.groupBy("split", "episode_end", *group).agg(by_time.alias("_rows"), F.first("stations").alias("stations"))

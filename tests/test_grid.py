@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from dockcast.operators import joins
 from dockcast.operators.grid import densify
-from dockcast.operators.summarize import GRANULARITIES, count_trips
+from dockcast.operators.cleaning import time_window
+from dockcast.operators.summarize import GRANULARITIES, count_trips, visit_count
 from dockcast.plans import demand
 from dockcast.plans.trips import build_trips, join_stations
 from dockcast.schemas import FLAGS, HOUR_PERIODS, MEASURES, ONE_HOT_PERIODS, TRIP, WEATHER_COLUMNS
@@ -106,18 +107,18 @@ def _weather_period(spark, buckets):
 def test_backfill_equals_a_fill_over_the_whole_table(spark, seed):
     """The filled grid equals pandas' backward fill over rows sorted by station, date, bucket."""
     rng = np.random.default_rng(seed)
-    trips, station = _trips(spark, _random_trips(seed, 40)), _station(spark, range(0, 6))
+    counts = demand.bucket_counts(_trips(spark, _random_trips(seed, 40)), _station(spark, range(0, 6)))
     present = [(d, p, float(rng.integers(0, 99))) for d in range(5) for p in HOUR_PERIODS if rng.random() < 0.3]
     weather = _weather_period(spark, present)
-    raw = demand.grid_with_weather(trips, station, weather, fill=False).toPandas()
+    raw = demand.grid_with_weather(counts, weather, fill=False).toPandas()
     order = ["s_sta_id", "date", "hour_period"]
     want = raw.sort_values(order).reset_index(drop=True)
     want[WEATHER_COLUMNS] = want[WEATHER_COLUMNS].bfill()
-    got = demand.grid_with_weather(trips, station, weather, wrap=True).toPandas().sort_values(order).reset_index(drop=True)
+    got = demand.grid_with_weather(counts, weather, wrap=True).toPandas().sort_values(order).reset_index(drop=True)
     pd.testing.assert_frame_equal(got, want, check_dtype=False)
     own = raw.sort_values(order).reset_index(drop=True)
     own[WEATHER_COLUMNS] = own.groupby("s_sta_id")[WEATHER_COLUMNS].bfill()
-    plain = demand.grid_with_weather(trips, station, weather, wrap=False).toPandas().sort_values(order).reset_index(drop=True)
+    plain = demand.grid_with_weather(counts, weather, wrap=False).toPandas().sort_values(order).reset_index(drop=True)
     pd.testing.assert_frame_equal(plain, own, check_dtype=False)
 
 
@@ -139,3 +140,20 @@ def test_trips_are_scanned_once_and_the_axis_is_broadcast(spark, tmp_path):
     plan = grid._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan parquet") == 1
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("closed, small", [("both", True), ("left", True), ("both", False)])
+def test_activity_equals_counting_the_window(spark, monkeypatch, closed, small):
+    rows = _random_trips(9, 150) + [(1, 2, 3, 0), (2, 0, 3, 0), (1, 2, 3, 1)]
+    trips, station = _trips(spark, rows), _station(spark, range(1, 6))
+    day = DAY + timedelta(days=2)
+    if not small:
+        monkeypatch.setattr("dockcast.plans.demand.is_small", lambda df: False)
+    window = time_window(trips, day, 1, 1, closed)
+    part = demand.activity_window(demand.station_activity(trips, station), day, 1, 1, closed)
+    pairs = [
+        (demand.bucket_counts(window, station), demand.activity_counts(part, station)),
+        (visit_count(window), demand.activity_visits(part)),
+    ]
+    for want, got in pairs:
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
