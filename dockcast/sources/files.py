@@ -16,6 +16,7 @@ from dockcast.plans.trips import build_trips
 from dockcast.plans.weather import build_weather
 from dockcast.schemas import STATION, STATION_NAMES, TRIP, WEATHER
 
+# Fixed value: name of the station file in a data folder.
 STATION_FILE = "station_geo&econ_data_Chicago.csv"
 
 
