@@ -156,3 +156,21 @@ def _taken(finish: Column, turn: int, cut: list, last) -> Column:
         inside = _item(finish, turn) <= end
     before = (first < b1) | ((first == b1) & (second < b2)) | ((first == b1) & (second == b2) & inside)
     return F.when(before, 1).otherwise(0)
+
+
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with the columns they came with.
+
+    To the mix, rows of one id, source and size are interchangeable. What it takes of such rows
+    is dealt out evenly among them.
+    """
+    key = lambda size: F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), size, F.concat(F.lit("s"), F.col("source")))
+    taken = mix(docs, **options).groupBy(key(F.col("size")).alias("__key")).agg(
+        F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size"))).cast("long").alias("__times"),
+        F.count(F.lit(1)).alias("__rows"),
+    ).where("__times > 0")
+    keyed = docs.withColumn("__key", key(F.size(words(F.col("text"))))).join(taken, "__key")
+    turn = F.row_number().over(W.partitionBy("__key").orderBy(F.lit(1)))
+    own = F.floor(F.col("__times") / F.col("__rows")) + F.when(turn <= F.col("__times") % F.col("__rows"), 1).otherwise(0)
+    each = keyed.withColumn("__own", own.cast("int")).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__own"))))
+    return each.select(*[F.col(f"`{c}`") for c in docs.columns])
