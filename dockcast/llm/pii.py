@@ -1,17 +1,17 @@
 """Personal data by weak supervision: labelers vote, their reliabilities are estimated, and a
 classifier trained on the result decides about the spans no fixed rule covers.
 
-Base spans come from one pattern and one check per kind and always stay. Candidates are looser:
-long mixed tokens, digit groups that no base span touches, and addresses without a dot; base
-spans are candidates too, so that the labelers can be judged. Five labelers vote yes, no or
-nothing on each: the pattern's own check, what the span consists of, a gazetteer of words that
-stand before personal data, a gazetteer of words that stand before harmless numbers, and the
-signs between that word and the span (assignment, quotes). Votes are counted per pattern of
-votes (at most 3 ** 5 per kind). Expectation-maximisation on those counts estimates how often
-each labeler votes what for real and for other candidates. The span classifier is a naive
-Bayes over hashed features (the word before, what the span consists of, its length) whose
-counts are weighted by the candidates' probabilities. A candidate it is sure of is added under
-its kind's name, ``secret``, ``number`` or ``address``, unless it touches a base span.
+Base spans come from one pattern and one check per kind and always stay. Candidates are looser
+spans that touch no base span: long tokens, groups of digits, and addresses without a dot. Five
+labelers vote yes, no or nothing on each: strict forms, what the span consists of, a gazetteer
+of words that stand before personal data, a gazetteer of words that stand before harmless
+numbers, and the signs between that word and the span (assignment, colon). Votes are counted
+per pattern of votes (at most 3 ** 5). Expectation-maximisation on those counts estimates how
+often each labeler votes what for real and for other candidates. The span classifier is a
+naive Bayes over hashed features (the word before, what the span consists of, its length)
+whose counts are weighted by the candidates' probabilities. A candidate of which it is sure, and
+of which the votes think likewise, is added under its kind's name, ``secret``, ``number`` or
+``address``.
 
 All of it is column expressions. A text is searched inside its own row; what is shuffled are
 counts with a partial step before. Repetitions in the patterns are possessive, and a match may
@@ -49,7 +49,8 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "secret": "[A-Za-z0-9_+/-]{20}", "number": "[0-9]{4}", "address": "@"}
 GAZETTEER = "token key secret password passwd pwd pass api auth bearer account iban ssn passport phone tel telephone mobile fax card visa mail email contact".split()
 HARMLESS = "page order item number no figure fig table section chapter isbn doi issn version year id line total sum row".split()
-LABELERS = ["check", "make", "before", "harmless", "signs"]
+FORMS = r"^([0-9a-f]{32,}|[0-9A-F]{32,}|(AKIA|ASIA)[0-9A-Z]{16}|(sk|pk|ghp|xox[bp])[_-].{16,}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4})$"
+LABELERS = ["form", "make", "before", "harmless", "signs"]
 CONTEXT = 24
 SLOTS = 256
 ROUNDS = 50
@@ -58,6 +59,7 @@ SURE = 0.9
 
 class Trained(NamedTuple):
     prior: float  # log-odds that a candidate is real
+    real: dict[int, float]  # per pattern of votes, the probability of being real
     weights: dict[str, list[float]]  # per feature, log-odds of each slot
 
 
@@ -124,7 +126,7 @@ def _judged(text: Column, span: Column) -> Column:
         mixed = (F.length(_digits(span["hit"])) >= 4) & span["hit"].rlike("[A-Za-z]")
         vote = lambda yes, no=None: F.when(yes, 1).when(F.lit(False) if no is None else no, -1).otherwise(0)
         votes = [
-            vote(span["kind"].isin(BASE)),
+            vote(span["hit"].rlike(FORMS), (span["kind"] == "number") & (F.length(span["hit"]) < 9)),
             vote((span["kind"] == "secret") & mixed, (span["kind"] == "secret") & ~mixed),
             vote(word.isin(GAZETTEER)),
             vote(F.lit(False), word.isin(HARMLESS)),
@@ -152,13 +154,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     loose = F.concat(*[_found(text, k) for k in ADDED])
     spans = source.select("doc_id", "text", F.concat(*[_found(text, k) for k in BASE]).alias("base"), loose.alias("loose"))
     touches = lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    free = F.filter("loose", lambda s: ~touches(s))
-    all_spans = F.when((F.size("base") > 0) | (F.size("loose") > 0), F.concat("base", free)).otherwise(F.col("loose"))
     return materialise(
         spans.select(
             "doc_id",
             F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"])).alias("base"),
-            F.transform(all_spans, lambda s: _judged(text, s)).alias("judged"),
+            F.transform(F.filter("loose", lambda s: ~touches(s)), lambda s: _judged(text, s)).alias("judged"),
         ), "pii-candidates",
     )
 
@@ -168,10 +168,10 @@ def reliabilities(counts: dict[int, int]) -> tuple[float, list[dict[int, tuple[f
 
     Gives the share of real candidates, per labeler and vote the probabilities of the vote for
     real and for other candidates, and each pattern's probability of being real. The start is
-    the majority of the votes. Base spans' check makes the first labeler's yes a certain one.
+    the majority of the votes.
     """
     patterns = {p: [(p // 3**k) % 3 - 1 for k in range(len(LABELERS))] for p in counts}
-    real = {p: 0.95 if v[0] == 1 else 0.9 if sum(v) > 1 else 0.5 if sum(v) == 1 else 0.05 for p, v in patterns.items()}
+    real = {p: 0.9 if sum(v) > 1 else 0.5 if sum(v) == 1 else 0.05 for p, v in patterns.items()}
     share, rates = 0.5, []
     for _ in range(ROUNDS):
         yes = sum(n * real[p] for p, n in sorted(counts.items()))
@@ -186,20 +186,24 @@ def reliabilities(counts: dict[int, int]) -> tuple[float, list[dict[int, tuple[f
             rates.append({v: (a / (yes + 3), b / (no + 3)) for v, (a, b) in seen.items()})
         for p, votes in patterns.items():
             odds = math.log(share / (1 - share)) + sum(math.log(r[v][0] / r[v][1]) for r, v in zip(rates, votes, strict=True))
-            real[p] = 1.0 if votes[0] == 1 else 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
+            real[p] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
     return share, rates, real
 
 
+def _of_votes(real: dict[int, float], votes: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for p in sorted(real) for x in (p, real[p])]), votes)
+
+
 def train(found: DataFrame) -> Trained:
     """The span classifier, from counts per vote pattern and per feature slot (both bounded)."""
     each = found.select(F.explode("judged").alias("c")).select("c.*")
     counts = {r["votes"]: r["n"] for r in each.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return Trained(-30.0, {f: [0.0] * SLOTS for f in FEATURES})
+        return Trained(-30.0, {0: 0.0}, {f: [0.0] * SLOTS for f in FEATURES})
     share, _, real = reliabilities(counts)
     entry = F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("slot")) for f in FEATURES]))
     per_slot = each.select("votes", entry).groupBy("feature", "slot", "votes").agg(F.count(F.lit(1)).alias("n"))
-    chance = F.element_at(F.create_map(*[F.lit(x) for p in sorted(real) for x in (p, real[p])]), F.col("votes"))
+    chance = _of_votes(real, F.col("votes"))
     sums = per_slot.groupBy("feature", "slot").agg(F.sum(F.col("n") * chance).alias("yes"), F.sum("n").alias("n"))
     total = sum(counts.values())
     yes = sum(n * real[p] for p, n in sorted(counts.items()))
@@ -207,7 +211,7 @@ def train(found: DataFrame) -> Trained:
     for row in sums.collect():  # at most SLOTS for each feature
         a, b = row["yes"] + 1, row["n"] - row["yes"] + 1
         weights[row["feature"]][row["slot"]] = round(math.log(a / (yes + SLOTS)) - math.log(b / (total - yes + SLOTS)), 6)
-    return Trained(round(math.log(share / (1 - share)), 6), weights)
+    return Trained(round(math.log(share / (1 - share)), 6), real, weights)
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -219,9 +223,9 @@ def spans(docs: DataFrame) -> DataFrame:
         parts = (F.element_at(F.array(*[F.lit(w) for w in model.weights[f]]), c[f] + 1) for f in FEATURES)
         return sum(parts, F.lit(model.prior))
 
-    sure = F.filter("judged", lambda c: c["kind"].isin(ADDED) & (odds(c) > math.log(SURE / (1 - SURE))))
-    added = F.transform(sure, lambda c: F.struct(c["kind"], c["start"], c["end"]))
-    return found.select("doc_id", "base", F.when(F.size("judged") > F.size("base"), added).otherwise(F.slice("base", 1, 0)).alias("added"))
+    sure = lambda c: (odds(c) > math.log(SURE / (1 - SURE))) & (_of_votes(model.real, c["votes"]) > 0.5)
+    added = F.transform(F.filter("judged", sure), lambda c: F.struct(c["kind"], c["start"], c["end"]))
+    return found.select("doc_id", "base", added.alias("added"))
 
 
 def joined(spans_column: Column) -> Column:
