@@ -67,7 +67,7 @@ def directory(file, size: int) -> list[Member]:
     tail_at = max(0, size - _FULL16 - 22)
     tail = _at(file, tail_at, size - tail_at)
     end = tail.rfind(_END)
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
         end = tail.rfind(_END, 0, end)  # a comment may hold the signature
     if end < 0:
         raise ValueError("no end of central directory")
