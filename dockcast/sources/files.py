@@ -7,14 +7,15 @@ from multiprocessing.pool import ThreadPool
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockcast.config import EngineConfig
 from dockcast.operators.cleaning import missing_text_to_null, nan_to_null
 from dockcast.plans.trips import build_trips
 from dockcast.plans.weather import build_weather
-from dockcast.schemas import STATION, STATION_NAMES, TRIP, WEATHER
+from dockcast.schemas import MISSING_TEXT, STATION, STATION_NAMES, TRIP, WEATHER
 
 # Fixed value: name of the station file in a data folder.
 STATION_FILE = "station_geo&econ_data_Chicago.csv"
@@ -39,12 +40,20 @@ def _folder(spark: SparkSession, path: str):
 
 
 def list_csv(spark: SparkSession, path: str) -> list[str]:
-    """The ``*.csv`` files directly in a folder, on any file system Spark can read."""
+    """The ``*.csv`` files directly in a folder, on any file system Spark can read.
+
+    Dot files are left out. Spark hides names with a leading underscore, so such a file is
+    an error rather than a loss.
+    """
     target, fs = _folder(spark, path)
     if not fs.exists(target):
         return []
-    found = [s.getPath().toString() for s in fs.listStatus(target) if s.isFile()]
-    return sorted(f for f in found if f.endswith(".csv"))
+    found = [s.getPath() for s in fs.listStatus(target) if s.isFile()]
+    found = [p for p in found if p.getName().endswith(".csv") and not p.getName().startswith(".")]
+    for p in found:
+        if p.getName().startswith("_"):
+            raise ValueError(f"rename {p.toString()}: Spark doesn't read files whose name begins with an underscore")
+    return sorted(p.toString() for p in found)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -53,25 +62,49 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """Column names of a CSV file; reads its first line only."""
-    line = spark.read.text(file).first()
+    """Column names of a CSV file; reads its first line through the file system, without a job."""
+    target, fs = _folder(spark, file)
+    java = spark.sparkContext._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(fs.open(target), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
     if line is None:
         raise ValueError(f"no header in {file}")
-    return tuple(next(csv.reader([line[0].lstrip("﻿")])))
+    return tuple(next(csv.reader([line.lstrip("\ufeff")])))
 
 
-def _typed(header: tuple[str, ...], schema: T.StructType | None) -> T.StructType | None:
-    if schema is None:
-        return None
-    known = {f.name: f.dataType for f in schema}
-    return T.StructType([T.StructField(n, known.get(n, T.StringType()), True) for n in header])
+# A line with more cells than the header leaves something in the first.
+SURPLUS, SOURCE = "_surplus", "_source"
+
+
+def _converted(name: str, kind: T.DataType) -> Column:
+    """A text cell as its type. A cell that says it is missing is null; any other that isn't of
+    the type raises. A whole number may be written with a zero fraction."""
+    cell = F.trim(F.col(f"`{name}`"))
+    if isinstance(kind, T.StringType):
+        return F.col(f"`{name}`")
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        cast = F.regexp_replace(cell, r"\.0*$", "").try_cast(kind)
+    else:
+        cast = cell.try_cast(kind)
+    said = F.concat(F.lit(f"column {name} can't be {kind.simpleString()}: "), cell, F.lit(" in "), F.col(SOURCE))
+    return F.when(cell.isNull() | cell.isin(MISSING_TEXT), None).otherwise(F.coalesce(cast, F.raise_error(said).cast(kind)))
 
 
 def _read_group(spark: SparkSession, files: list[str], header: tuple[str, ...], schema) -> DataFrame:
+    """Files of one header. With a schema, cells are read as text and converted by rule, so none
+    is lost; a line with too many cells raises, one with too few has nulls at its end."""
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    typed = _typed(header, schema)
-    reader = reader.schema(typed) if typed is not None else reader.option("inferSchema", True)
-    return reader.csv(files)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(files)
+    text = T.StructType([T.StructField(n, T.StringType()) for n in (*header, SURPLUS)])
+    rows = reader.schema(text).csv(files).withColumn(SOURCE, F.input_file_name())
+    said = F.concat(F.lit("a line has more cells than the header: "), F.col(SOURCE))
+    rows = rows.where(F.col(SURPLUS).isNull() | F.raise_error(said).cast("boolean"))
+    known = {f.name: f.dataType for f in schema}
+    return rows.select(*[_converted(n, known.get(n, T.StringType())).alias(n) for n in header])
 
 
 def read_csv_folder(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

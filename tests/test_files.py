@@ -2,6 +2,7 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
+from pyspark.sql import types as T
 
 from dockcast.config import EngineConfig
 from dockcast.sources import files
@@ -79,3 +80,36 @@ def test_parquet_bundle(spark, data_folder, tmp_path):
         df.write.parquet(f"{tmp_path}/bundle/{name}")
     again = files.load_tables(spark, f"{tmp_path}/bundle", "parquet")
     assert [t.count() for t in again] == [2, 1, 2]
+
+
+LONGS = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.DoubleType())])
+
+
+def test_cells_are_converted_by_rule(spark, tmp_path):
+    _write(tmp_path, "a.csv", "x,y\n35.0,1\n 7 ,2.5\n12.,NA\n,\n9\n")
+    _write(tmp_path, ".hidden.csv", "x,y\n1,1\n")
+    got = files.read_csv_folder(spark, str(tmp_path), LONGS).collect()
+    assert {(r.x, r.y) for r in got} == {(35, 1.0), (7, 2.5), (12, None), (None, None), (9, None)}
+
+
+@pytest.mark.parametrize("line", ["abc,1", "35.5,1", "1,x", "1,2,3"])
+def test_a_cell_that_cannot_be_read_raises(spark, tmp_path, line):
+    _write(tmp_path, "a.csv", f"x,y\n1,1\n{line}\n")
+    with pytest.raises(Exception, match="a.csv"):
+        files.read_csv_folder(spark, str(tmp_path), LONGS).collect()
+
+
+def test_underscore_files_are_not_lost_silently(spark, tmp_path):
+    _write(tmp_path, "_b.csv", "x,y\n1,1\n")
+    with pytest.raises(ValueError, match="_b.csv"):
+        files.read_csv_folder(spark, str(tmp_path), LONGS)
+
+
+def test_headers_need_no_jobs(spark, tmp_path):
+    for n in range(200):
+        _write(tmp_path, f"{n}.csv", f"x,y\n{n},1\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    frame = files.read_csv_folder(spark, str(tmp_path), LONGS)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers")) <= 1  # listing many paths is a job
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert frame.count() == 200
