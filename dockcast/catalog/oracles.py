@@ -400,4 +400,50 @@ FROM model m JOIN station_labels l ON m.s_sta_id = l.sta_id JOIN ends e ON m.dat
     q["save_reload"] = _with(
         *TRIPS, body=f"SELECT * REPLACE (round(birthyear, {ROUND}) AS birthyear) FROM prepared"
     )
+    q["station_clusters"] = _with(
+        *TRIPS, VISITS, CELLS, """
+scaled AS (
+  SELECT from_station_id AS id, weekday_hour_period AS cell, (visit_count - min(visit_count) OVER c)
+    / CAST(CASE WHEN max(visit_count) OVER c = min(visit_count) OVER c THEN 1
+      ELSE max(visit_count) OVER c - min(visit_count) OVER c END AS DOUBLE) AS x
+  FROM cells WINDOW c AS (PARTITION BY weekday_hour_period)),
+points AS (SELECT id, list(x ORDER BY cell) AS vec FROM scaled GROUP BY id),
+weighted AS (SELECT min(id) AS cid, CAST(count(*) AS DOUBLE) AS n, vec, list(id) AS members FROM points GROUP BY vec),
+merged AS (
+  SELECT 0 AS step, cid, n, vec, members FROM weighted
+  UNION ALL
+  SELECT s.step + 1, s.cid, s.n + coalesce(o.n, 0),
+    CASE WHEN o.cid IS NULL THEN s.vec
+      ELSE list_transform(list_zip(s.vec, o.vec), lambda p: (s.n * p[1] + o.n * p[2]) / (s.n + o.n)) END,
+    CASE WHEN o.cid IS NULL THEN s.members ELSE list_concat(s.members, o.members) END
+  FROM merged s
+  CROSS JOIN (
+    SELECT a.cid AS x, b.cid AS y FROM merged a JOIN merged b ON a.cid < b.cid
+    ORDER BY a.n * b.n / (a.n + b.n) * pow(list_distance(a.vec, b.vec), 2), a.cid, b.cid LIMIT 1) best
+  LEFT JOIN merged o ON s.cid = best.x AND o.cid = best.y
+  WHERE s.cid <> best.y AND (SELECT count(*) FROM merged) > 8),
+labels AS (
+  SELECT unnest(members) AS sta_id, CAST(row_number() OVER (ORDER BY cid) - 1 AS INTEGER) AS cluster
+  FROM merged WHERE step = (SELECT max(step) FROM merged))""",
+        body="SELECT sta_id, cluster FROM station JOIN labels USING (sta_id)",
+    ).replace("WITH", "WITH RECURSIVE", 1)
+    q["load_and_prepare"] = _with(
+        *TRIPS, *PERIODS,
+        body="""SELECT 'station' AS name, count(*) AS rows, round(CAST(sum(sta_id) AS DOUBLE), 4) AS total FROM station
+UNION ALL SELECT 'weather_period', count(*), round(CAST(sum(tempi_max) AS DOUBLE), 4) FROM weather_period
+UNION ALL SELECT 'trip', count(*), round(CAST(sum(to_station_id) AS DOUBLE), 4) FROM prepared""",
+    )
+    q["one_hot_several"] = """SELECT o_orderkey, CAST(coalesce(o_orderstatus = 'O', false) AS INTEGER) AS is_open,
+  CAST(coalesce(o_orderstatus = 'F', false) AS INTEGER) AS is_final,
+  CAST(coalesce(o_orderpriority = '1-URGENT', false) AS INTEGER) AS is_urgent FROM orders"""
+    q["forecast_one_split"] = _with(
+        *GRIDDED, LABELS_SQL,
+        f"""
+rows AS (SELECT g.*, CAST(l.cluster // 9 AS INTEGER) AS cluster, {_business('g.date')} AS business_day
+  FROM grid g JOIN station_labels l ON g.s_sta_id = l.sta_id),
+fitted AS (SELECT cluster, business_day, avg(trip_count) AS pred FROM rows WHERE date < DATE '2024-01-26' GROUP BY ALL)""",
+        body=f"""SELECT s_sta_id, date, hour_period, cluster, trip_count, round(pred, {ROUND}) AS pred,
+  CASE WHEN pred IS NULL THEN 'no train rows' ELSE 'ok' END AS status
+FROM rows LEFT JOIN fitted USING (cluster, business_day) WHERE date >= DATE '2024-01-26'"""
+    )
     return q

@@ -8,18 +8,29 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockcast.catalog import roles
-from dockcast.config import ForecastParams
+from dockcast.config import EngineConfig, ForecastParams
 from dockcast.functions import timecols as tc
 from dockcast.operators import cleaning, joins, metrics, reshape, scaling, summarize, windows
 from dockcast.operators.grid import densify
 from dockcast.plans import clusters, demand, episodes, forecast
 from dockcast.plans.trips import build_trips, join_stations
 from dockcast.plans.weather import build_weather, clean_weather, weather_by_period
-from dockcast.schemas import FLAGS, MEASURES, ONE_HOT_PERIODS, PROFILE_KEYS, WEATHER_COLUMNS
+from dockcast.schemas import FLAGS, MEASURES, ONE_HOT_PERIODS, PROFILE_KEYS, STATION_NAMES, TRIP, WEATHER, WEATHER_COLUMNS
 from dockcast.session import scratch_path
-from dockcast.sources.files import Prepared, load_prepared, read_csv_folder, save_prepared
+from dockcast.sources.files import (
+    Prepared,
+    Tables,
+    list_csv,
+    load_prepared,
+    prepare,
+    prepare_tables,
+    read_csv_folder,
+    read_station_csv,
+    save_prepared,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
@@ -471,8 +482,39 @@ def union_files(spark, sf):
     other = orders.filter("o_orderstatus <> 'O'").select("o_totalprice", "o_orderkey", "o_custkey")
     for part in (opened, other):
         part.write.mode("append").option("header", True).csv(folder)
-    schema = "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string"
-    return read_csv_folder(spark, folder, spark.createDataFrame([], schema).schema)
+    return read_csv_folder(spark, folder, T.StructType.fromDDL("o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string"))
+
+
+@query
+def load_and_prepare(spark, sf):
+    """The roles as CSV folders, loaded and prepared; a second call takes what the first saved."""
+    base = scratch_path(spark, "bundle")
+    back = {v: k for k, v in STATION_NAMES.items()}
+    roles.station(spark, sf).withColumnsRenamed(back).coalesce(1).write.option("header", True).csv(f"{base}/station")
+    (part,) = list_csv(spark, f"{base}/station")
+    for name, table in (("weather", roles.weather(spark, sf)), ("trip", roles.trip(spark, sf))):
+        table.write.option("header", True).csv(f"{base}/{name}")
+    tables = Tables(
+        read_station_csv(spark, part), read_csv_folder(spark, f"{base}/weather", WEATHER), read_csv_folder(spark, f"{base}/trip", TRIP)
+    )
+    saved = scratch_path(spark, "saved")
+    save_prepared(prepare_tables(tables), saved)
+    again = prepare(spark, EngineConfig(data_path=f"{base}/gone", prepared_path=saved))
+    total = lambda df, name, c: df.agg(
+        F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), F.round(F.sum(c), 4).cast("double").alias("total")
+    )
+    return (
+        total(again.station, "station", "sta_id")
+        .unionByName(total(again.weather_period, "weather_period", "tempi_max"))
+        .unionByName(total(again.trip, "trip", "to_station_id"))
+    )
+
+
+@query
+def one_hot_several(spark, sf):
+    kept = roles.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    names = {"o_orderstatus": {"O": "is_open", "F": "is_final"}, "o_orderpriority": {"1-URGENT": "is_urgent"}}
+    return reshape.one_hot(kept, ["o_orderstatus", "o_orderpriority"], names)
 
 
 @query
@@ -505,10 +547,19 @@ def cluster_forecast(spark, sf):
     return forecast.forecast_all(train, test, labels, CHECK_MODEL)
 
 
+@query
+def forecast_one_split(spark, sf):
+    """A single tree with one split on the business day: each cluster's train mean of either kind of day."""
+    data = _model(spark, sf, keep_period=True)
+    train, test = cleaning.split_by_date(data, date(2024, 1, 26))
+    single = ForecastParams(max_iter=1, max_depth=1, subsampling_rate=1.0, feature_subset="all")
+    labels = roles.labels(spark, sf).withColumn("cluster", F.floor(F.col("cluster") / 9).cast("int"))
+    return rounded(forecast.forecast_all(train, test, labels, single, ["business_day"]), ["pred"])
+
+
 @query
 def rolling_forecast(spark, sf):
     run = forecast.rolling_forecast(
-        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), date(2024, 1, 29), 2,
-        trace_back_days=20, n_clusters=3, params=CHECK_MODEL,
+        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), date(2024, 1, 29), n_clusters=16, params=CHECK_MODEL
     )
     return run.scores

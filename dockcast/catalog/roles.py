@@ -1,9 +1,8 @@
 """The given tables in the roles of station, weather and trip, as Spark and as SQL.
 
 Every row of the source tables takes part. ``events`` serves twice: each event is a trip,
-and each event is a weather reading whose pressure is a sentinel unless it is an error
-event with a low counter, so that the engine's own validity filter thins the readings and
-leaves some buckets without weather.
+and each event is a weather reading whose pressure is a sentinel in every fifth bucket, so
+that the engine's own validity filter leaves some buckets without weather and keeps the rest.
 """
 
 from __future__ import annotations
@@ -47,8 +46,11 @@ def station(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A flag is set where the value exceeds its bound.
+FLAG_BOUNDS = {"fog": 10, "rain": 20, "snow": 50, "hail": 80, "thunder": 100, "tornado": 150}
+
+
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag = {"fog": 10, "rain": 20, "snow": 50, "hail": 80, "thunder": 100, "tornado": 150}
     return counted_events(spark, sf_dir).selectExpr(
         "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS datetime",
         "value AS tempi",
@@ -57,9 +59,9 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value - 1D AS wspdi",
         "k * 3D AS wdird",
         "k * 0.25D AS visi",
-        "CASE WHEN event_type = 'error' AND k < 20 THEN value + 900D ELSE -9999D END AS pressurei",
+        "CASE WHEN (day(ts) * 6 + (hour(ts) + 23) % 24 div 4) % 5 = 0 THEN -9999D ELSE value + 900D END AS pressurei",
         "CASE WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN -9999D ELSE value * 0.125D END AS precipi",
-        *[f"cast(value > {bound} AS int) AS {name}" for name, bound in flag.items()],
+        *[f"cast(value > {bound} AS int) AS {name}" for name, bound in FLAG_BOUNDS.items()],
         *[f"value AS {c}" for c in WEATHER_METRIC_UNITS + WEATHER_MOSTLY_INVALID],
         "event_type AS conds",
         "'N' AS wdire",
@@ -92,10 +94,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the same in SQL ---------------------------------------------------------------
 
-_FLAGS = "fog 10, rain 20, snow 50, hail 80, thunder 100, tornado 150"
-_FLAG_SQL = ",\n    ".join(
-    f"CAST(value > {p.split()[1]} AS INTEGER) AS {p.split()[0]}" for p in _FLAGS.split(", ")
-)
+_FLAG_SQL = ",\n    ".join(f"CAST(value > {bound} AS INTEGER) AS {name}" for name, bound in FLAG_BOUNDS.items())
 _UNUSED_SQL = ", ".join(f"value AS {c}" for c in WEATHER_METRIC_UNITS + WEATHER_MOSTLY_INVALID)
 
 EVENTS_SQL = """
@@ -115,7 +114,7 @@ weather AS (
   SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime, value AS tempi, value * 0.5 AS dewpti,
     CAST(k AS DOUBLE) AS hum, value - 1.0 AS wspdi, k * CAST(3.0 AS DOUBLE) AS wdird,
     k * CAST(0.25 AS DOUBLE) AS visi,
-    CASE WHEN event_type = 'error' AND k < 20 THEN value + 900.0 ELSE -9999.0 END AS pressurei,
+    CASE WHEN (day(ts) * 6 + (hour(ts) + 23) % 24 // 4) % 5 = 0 THEN -9999.0 ELSE value + 900.0 END AS pressurei,
     CASE WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN -9999.0 ELSE value * 0.125 END AS precipi,
     {_FLAG_SQL},
     {_UNUSED_SQL}, event_type AS conds, 'N' AS wdire

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 # A dimension of at most this many rows is sent to every executor (tens of MB for ten
 # numeric columns); a larger one is joined by shuffle.
 MAX_BROADCAST_ROWS = 200_000
-SALTS = 32
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether a table has at most ``max_rows`` rows: a plain count, a number from each task.
+
+    No column is needed for it, so a scan reads footers only.
+    """
+    return df.select(F.lit(1)).count() <= max_rows
 
 
 def lookup_join(
@@ -23,23 +25,17 @@ def lookup_join(
     dim_key: str,
     how: str = "inner",
     small: bool | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join facts to a dimension on one key.
 
     A small dimension is broadcast and the facts do not move. A large one is joined by
-    shuffle with the key salted on both sides, so a key that holds a large share of the
-    facts is spread over ``salts`` tasks; the salt is a hash of the fact row, which a
-    repeated task computes again in the same way.
+    shuffle; a key that holds a large share of the facts is split at run time by adaptive
+    execution (``spark.sql.adaptive.skewJoin.enabled``, set by the session). A caller that knows
+    the size of the dimension says so.
     """
     if small is None:
         small = is_small(dim)
-    if small:
-        return facts.join(F.broadcast(dim), facts[fact_key] == dim[dim_key], how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-    copies = dim.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    on = (salted[fact_key] == copies[dim_key]) & (salted["_salt"] == copies["_dim_salt"])
-    return salted.join(copies, on, how).drop("_salt", "_dim_salt")
+    return facts.join(F.broadcast(dim) if small else dim, facts[fact_key] == dim[dim_key], how)
 
 
 def with_prefix(df: DataFrame, prefix: str) -> DataFrame:

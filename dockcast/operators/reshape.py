@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from dockcast.schemas import PROFILE_KEYS
 
 
-MAX_VALUES = 1000
-
-
 def profile_pivot(visits: DataFrame, keys: list[str] = PROFILE_KEYS) -> DataFrame:
     """Station × (weekday, bucket) visit counts, zero where there was no visit.
 
@@ -37,17 +34,24 @@ def wide_row_share(wide: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def one_hot(
-    df: DataFrame, column: str, names: dict | None = None, remove_original: bool = True
+    df: DataFrame, columns: str | list[str], names: dict | None = None, remove_original: bool = True
 ) -> DataFrame:
-    """0/1 column per value; a null value gives zeros everywhere.
+    """0/1 column per value of a column, or of each of several; a null value gives zeros everywhere.
 
-    ``names`` maps values to column names. Without it the values are looked up (one
-    distinct job) and name their columns; more than ``MAX_VALUES`` values are refused.
+    ``names`` maps values to column names, for several columns per column. Without it the
+    values are looked up and name their columns, after the column's name if there are several.
+    The values become columns of the plan, so only as many as a table can have columns make
+    sense; with declared values nothing is looked up.
     """
-    if names is None:
-        found = df.select(column).na.drop().distinct().orderBy(column).limit(MAX_VALUES + 1).collect()
-        if len(found) > MAX_VALUES:
-            raise ValueError(f"column {column} has more than {MAX_VALUES} values; declare the wanted ones")
-        names = {row[0]: str(row[0]) for row in found}
-    out = df.withColumns({n: F.col(column).eqNullSafe(F.lit(v)).cast("int") for v, n in names.items()})
-    return out.drop(column) if remove_original else out
+    several = not isinstance(columns, str)
+    wanted = list(columns) if several else [columns]
+    named = (names or {}) if several else {columns: names}
+    out = {}
+    for column in wanted:
+        values = named.get(column)
+        if values is None:
+            found = df.select(column).na.drop().distinct().orderBy(column).collect()
+            values = {row[0]: f"{column}_{row[0]}" if several else str(row[0]) for row in found}
+        out |= {name: F.col(column).eqNullSafe(F.lit(value)).cast("int") for value, name in values.items()}
+    made = df.withColumns(out) if out else df
+    return made.drop(*wanted) if remove_original else made

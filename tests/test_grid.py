@@ -86,7 +86,7 @@ def test_large_station_table_gives_the_same_counts(spark, monkeypatch):
     assert join_stations(trips, station).count() == joined
 
 
-def test_salted_join_equals_broadcast_join(spark):
+def test_shuffled_join_equals_broadcast_join(spark):
     facts = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("k"), "id")
     dim = spark.range(40).select(F.col("id").alias("d"), (F.col("id") * 2).alias("v"))
     for how in ("inner", "left_semi"):
