@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockcast.operators.joins import MAX_BROADCAST_ROWS
+from dockcast.session import materialise
 
 AXIS_COLUMNS = ["_pos", "_size"]
 
@@ -33,6 +34,18 @@ def time_axis(counts: DataFrame, time: list[str], value: str, **whole_axis_max:
     )
 
 
+def condensed(counts: DataFrame, time: list[str], axis_rows: int | None) -> tuple[DataFrame, int]:
+    """Counts whose time axis has a known bound.
+
+    Without a bound the counts, a table far smaller than what was counted, are written once
+    and their times are counted.
+    """
+    if axis_rows is not None:
+        return counts, axis_rows
+    counts = materialise(counts, "condensed")
+    return counts, counts.select(*time).distinct().count()
+
+
 def densify(
     counts: DataFrame,
     entity: list[str],
@@ -50,14 +63,15 @@ def densify(
 
     ``axis`` may carry further columns of the time axis (for example weather), which are
     then returned too. ``axis_rows`` is a known bound of its length (days times buckets of
-    a time window): up to the broadcast limit the axis is broadcast and the dense rows
-    never move. Beyond it, or without a bound, both joins are merge joins: the size seen
-    before the gaps are filled says nothing about the dense rows, so Spark must not
+    a time window); without it the times are counted. Up to the broadcast limit the axis is
+    broadcast and the dense rows never move. Beyond it both joins are merge joins: the size
+    seen before the gaps are filled says nothing about the dense rows, so Spark must not
     broadcast that side on its own.
     """
+    counts, axis_rows = condensed(counts, time, axis_rows)
     if axis is None:
         axis = time_axis(counts, time, value)
-    small = axis_rows is not None and axis_rows <= MAX_BROADCAST_ROWS
+    small = axis_rows <= MAX_BROADCAST_ROWS
     join_hint = "broadcast" if small else "merge"
 
     placed = counts.join(axis.select(*time, *AXIS_COLUMNS).hint(join_hint), time)

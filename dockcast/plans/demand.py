@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.timecols import profile_key, with_calendar
 from dockcast.operators.cleaning import known
-from dockcast.operators.grid import backfill, close_trailing_gap, densify, time_axis
+from dockcast.operators.grid import backfill, close_trailing_gap, condensed, densify, time_axis
 from dockcast.operators.joins import is_small, lookup_join
 from dockcast.operators.reshape import one_hot
 from dockcast.schemas import HOUR_PERIODS, ONE_HOT_PERIODS, WEATHER_COLUMNS
@@ -116,6 +116,7 @@ def grid_with_weather(
     The grid is dense and weather depends on the bucket alone, so weather is joined and
     filled on the short time axis and reaches the stations together with the bucket.
     """
+    counts, axis_rows = condensed(counts, BUCKET, axis_rows)
     last = {"_last_station": "s_sta_id"} if wrap and fill else {}
     axis = time_axis(counts, BUCKET, "trip_count", **last)
     axis = axis.join(weather_period.select(*BUCKET, *WEATHER_COLUMNS), BUCKET, "left")

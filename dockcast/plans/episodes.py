@@ -5,11 +5,11 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockcast.functions.timecols import grid_key
 from dockcast.operators.joins import with_cluster
+from dockcast.session import materialise
 
 CELL = ["cluster", "s_sta_id", "date", "hour_period"]
 BLOCK_STATIONS = 1024
@@ -92,19 +92,24 @@ def episodes_nested(
 ) -> DataFrame:
     """The same as matrices ``[time][station]``, with the stations and buckets they run over.
 
-    The stations of a cluster are taken in blocks of ``block_stations`` (block 0 is the
-    whole matrix of a cluster up to that size), so a matrix has a bounded size however
-    many stations a cluster has. The station vectors are built once per bucket and only
-    then sent to the episodes. ``data`` has to be dense, as the demand grid is.
+    A cluster of more than ``block_stations`` stations is dealt out by a hash of the station
+    into ``station_blocks`` blocks of about that size, and ``station_block`` says which of them
+    a matrix is; a smaller cluster has one block, number 0. So a matrix has a bounded size
+    however many stations a cluster has. The station vectors are built once per bucket and
+    only then sent to the episodes. ``data`` has to be dense, as the demand grid is; it is
+    written once.
     """
-    order = W.partitionBy("cluster").orderBy("sta_id")
-    block = F.floor((F.row_number().over(order) - 1) / block_stations).cast("int")
+    data = materialise(data.select(*CELL[1:], *dict.fromkeys([*features, label_field])), "episode-rows")
     placed = labels.select("sta_id", "cluster").join(
         data.select(F.col("s_sta_id").alias("sta_id")).distinct(), "sta_id", "left_semi"
-    ).select(F.col("sta_id").alias("_block_sta"), block.alias("station_block"))
+    )
+    blocks = F.ceil(F.count(F.lit(1)) / block_stations).cast("int")
+    placed = placed.join(placed.groupBy("cluster").agg(blocks.alias("station_blocks")), "cluster")
+    block = F.pmod(F.xxhash64("sta_id"), F.col("station_blocks")).cast("int")
+    placed = placed.select(F.col("sta_id").alias("_block_sta"), block.alias("station_block"), "station_blocks")
     cells = _cells(data, labels, features, label_field)
     cells = cells.join(placed, cells["s_sta_id"] == placed["_block_sta"]).drop("_block_sta")
-    group = ["cluster", "station_block", "feature"]
+    group = ["cluster", "station_block", "station_blocks", "feature"]
     by_station = F.array_sort(F.collect_list(F.struct("s_sta_id", "value")))
     vectors = cells.groupBy(*group, "date", "hour_period").agg(by_station.alias("_cells"))
     vectors = vectors.select(
@@ -115,6 +120,6 @@ def episodes_nested(
     by_time = F.array_sort(F.collect_list(F.struct("bucket", "row")))
     tensor = keyed.groupBy("split", "episode_end", *group).agg(by_time.alias("_rows"), F.first("stations").alias("stations"))
     return tensor.select(
-        "cluster", "split", "episode_end", "feature", "station_block", "stations",
+        "cluster", "split", "episode_end", "feature", "station_block", "station_blocks", "stations",
         F.col("_rows.bucket").alias("buckets"), F.col("_rows.row").alias("matrix"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,7 @@ SESSION_CONF = {
 
 
 _LOCAL_DIRS: dict[str, str] = {}
+_WRITTEN: list[str] = []
 
 
 def build_session(app: str = "dockcast", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not spark.sparkContext.master.startswith("local") and configured.startswith(("/", "file:")):
+            warnings.warn(f"{configured} has to be a mount that all executors share", stacklevel=2)
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
@@ -49,7 +53,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path not used before, below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes the tables this process wrote to the shared folder, and only those.
+
+    For the end of a run: results that are still wanted have to be saved before.
+    """
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = hadoop.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

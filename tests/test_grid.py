@@ -1,10 +1,12 @@
 from datetime import date, timedelta
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from dockcast import session
 from dockcast.operators import joins
 from dockcast.operators.grid import densify
 from dockcast.operators.cleaning import time_window
@@ -157,3 +159,17 @@ def test_activity_equals_counting_the_window(spark, monkeypatch, closed, small):
     ]
     for want, got in pairs:
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_default_call_broadcasts_the_axis(spark):
+    trips, station = _trips(spark, _random_trips(5)), _station(spark, range(1, 6))
+    plan = demand.demand_grid(trips, station)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_scratch_tables_go(spark, monkeypatch):
+    monkeypatch.setattr(session, "_WRITTEN", [])
+    table = session.materialise(spark.range(3).toDF("x"), "gone")
+    (file,) = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+    session.drop_scratch(spark)
+    assert not Path(file.removeprefix("file://").removeprefix("file:")).exists()
