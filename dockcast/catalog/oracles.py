@@ -377,6 +377,12 @@ FROM model m JOIN station_labels l ON m.s_sta_id = l.sta_id JOIN ends e ON m.dat
         *GRIDDED,
         body="""SELECT * FROM (SELECT *, lag(trip_count, 6) OVER (PARTITION BY s_sta_id ORDER BY date, hour_period)
   AS next_day_trip_count FROM grid) WHERE next_day_trip_count IS NOT NULL""",
+    )
+    q["site_series"] = _with(
+        *GRIDDED,
+        body=f"""SELECT s_sta_id, date, hour_period, {_calendar('date')}, next_day_trip_count FROM (
+  SELECT *, lag(trip_count, 6) OVER (ORDER BY date, hour_period) AS next_day_trip_count FROM grid WHERE s_sta_id = 7)
+WHERE next_day_trip_count IS NOT NULL""",
     )
     q["backfill_weather"] = _with(
         *_WEATHER_JOINED,

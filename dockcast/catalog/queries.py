@@ -444,6 +444,14 @@ def target_shift(spark, sf):
     return windows.target_shift(_grid(spark, sf), 6)
 
 
+@query
+def site_series(spark, sf):
+    """Features and next-day target of one station, side by side again."""
+    grid = demand.demand_grid(_trips(spark, sf), roles.station(spark, sf), _bound(spark, sf))
+    features, target = windows.site_timeseries(grid, 7, 6)
+    return features.join(target, ["s_sta_id", "date", "hour_period"])
+
+
 @query
 def backfill_weather(spark, sf):
     filled = demand.grid_with_weather(

@@ -85,3 +85,15 @@ def test_cluster_color_starts_over(spark):
     df = spark.createDataFrame([(0,), (18,), (19,), (37,), (None,)], "label int")
     got = [r.c for r in df.select(cluster_color("label").alias("c")).collect()]
     assert got == [PALETTE[0], PALETTE[18], PALETTE[0], PALETTE[18], None]
+
+
+def test_fixed_values_are_spelled_out():
+    from dockcast.functions.colors import PALETTE
+    from dockcast.schemas import HOUR_PERIODS, PROFILE_KEYS
+
+    assert HOUR_PERIODS == ["1,1-4", "2,5-8", "3,9-12", "4,13-16", "5,17-20", "6,21-24"]
+    assert " ".join(PALETTE) == (
+        "red blue green purple orange darkred lightred beige darkblue darkgreen cadetblue darkpurple white pink "
+        "lightblue lightgreen gray black lightgray"
+    )
+    assert len(PROFILE_KEYS) == 42 and PROFILE_KEYS[0] == "0_1,1-4" and PROFILE_KEYS[-1] == "6_6,21-24"
