@@ -16,6 +16,7 @@ that ``with_ledger`` replaces a column that has the name of its result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -29,18 +30,18 @@ SYMBOLS = "#*$%&|<>"
 
 class Rule(NamedTuple):
     name: str
-    fails: str  # SQL over the measurements
+    fails: Callable[[Column], Column]  # of the struct of measurements
 
 
 # The place in this list is the bit; rules are only ever added at the end.
 RULES = [
-    Rule("too_few_words", "n_words < 10"),
-    Rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
-    Rule("symbols", "100 * n_symbols > 20 * n_words"),
-    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
-    Rule("word_length", "word_chars < 2 * n_words OR word_chars > 40 * n_words"),
-    Rule("stuttered_words", "100 * n_stutter > 30 * n_words"),
-    Rule("shouting", "100 * n_upper > 70 * word_chars AND word_chars > 0"),
+    Rule("too_few_words", lambda m: m["n_words"] < 10),
+    Rule("repeated_windows", lambda m: 100 * m["n_repeat_words"] > 20 * m["n_words"]),
+    Rule("symbols", lambda m: 100 * m["n_symbols"] > 20 * m["n_words"]),
+    Rule("duplicate_lines", lambda m: 100 * m["n_dup_lines"] > 30 * m["n_lines"]),
+    Rule("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 40 * m["n_words"])),
+    Rule("stuttered_words", lambda m: 100 * m["n_stutter"] > 30 * m["n_words"]),
+    Rule("shouting", lambda m: (100 * m["n_upper"] > 70 * m["word_chars"]) & (m["word_chars"] > 0)),
 ]
 BITS = {rule.name: 1 << k for k, rule in enumerate(RULES)}
 
@@ -77,35 +78,43 @@ def _repeat_words(w: Column) -> Column:
     return F.when(n <= WINDOW, 0).when(clash, exact).otherwise(0).cast("long")
 
 
-def with_ledger(docs: DataFrame, text: str = "text", into: str = "ledger") -> DataFrame:
-    """``docs`` with a struct of all measurements and ``failed_bits``."""
-    t, w, lines = F.col(text), F.col("__words"), F.col("__lines")
-    split = F.split(F.coalesce(t, F.lit("")), "\n", -1)
-    measured = docs.withColumns(
-        {"__words": words(t), "__lines": F.filter(split, lambda line: without_blanks(line) != "")}
-    )
-    dense = without_blanks(t)
-    count = lambda c: c.cast("long")
-    values = {
-        "n_words": count(F.size(w)),
-        "word_chars": count(F.length(dense)),
-        "n_symbols": count(F.length(dense) - F.length(F.translate(dense, SYMBOLS, ""))),
-        "n_lines": count(F.size(lines)),
-        "n_dup_lines": count(F.size(lines) - F.size(F.array_distinct(lines))),
+def _measured(w: Column, lines: Column, dense: Column) -> dict[str, Column]:
+    without = lambda chars: F.length(dense) - F.length(F.translate(dense, chars, ""))
+    return {
+        "n_words": F.size(w),
+        "word_chars": F.length(dense),
+        "n_symbols": without(SYMBOLS),
+        "n_lines": F.size(lines),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": _repeat_words(w),
-        "n_stutter": count(F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1)))),
-        "n_upper": count(F.length(dense) - F.length(F.regexp_replace(dense, r"\p{Lu}", ""))),
+        "n_stutter": F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1))),
+        "n_upper": F.length(dense) - F.length(F.regexp_replace(dense, r"\p{Lu}", "")),
     }
-    measured = measured.withColumn("__values", F.struct(*[v.alias(k) for k, v in values.items()]))
-    bits = " + ".join(f"CASE WHEN {_over(rule.fails, values)} THEN {BITS[rule.name]}L ELSE 0L END" for rule in RULES)
-    ledger = F.struct("__values.*", F.expr(bits).alias("failed_bits"))
-    return measured.withColumn(into, ledger).drop("__words", "__lines", "__values")
 
 
-def _over(condition: str, names) -> str:
-    for name in names:
-        condition = condition.replace(name, f"__values.{name}")
-    return f"({condition})"
+def ledger(text: Column) -> Column:
+    """All measurements of a text and ``failed_bits``, as one expression.
+
+    Words, lines and measurements are bound, not repeated: a filter on the ledger that moves
+    down the plan takes a single copy with it.
+    """
+    kept = F.coalesce(text, F.lit(""))
+    split = F.filter(F.split(kept, "\n", -1), lambda line: without_blanks(line) != "")
+
+    def judged(m: Column, names: list[str]) -> Column:
+        bits = sum((F.when(rule.fails(m), BITS[rule.name]).otherwise(0) for rule in RULES), F.lit(0)).cast("long")
+        return F.struct(*[m[n].alias(n) for n in names], bits.alias("failed_bits"))
+
+    def measured(w: Column, lines: Column, dense: Column) -> Column:
+        values = _measured(w, lines, dense)
+        return bind(F.struct(*[v.cast("long").alias(k) for k, v in values.items()]), lambda m: judged(m, list(values)))
+
+    return bind(words(text), lambda w: bind(split, lambda ls: bind(without_blanks(text), lambda d: measured(w, ls, d))))
+
+
+def with_ledger(docs: DataFrame, text: str = "text", into: str = "ledger") -> DataFrame:
+    """``docs`` with the ledger of each text."""
+    return docs.withColumn(into, ledger(F.col(text)))
 
 
 def keeps(policy: str, bits: Column) -> Column:
