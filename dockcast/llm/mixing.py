@@ -152,7 +152,8 @@ def _taken(finish: Column, turn: int, cut: list, last) -> Column:
     inside = F.lit(False)
     if last is not None:
         item = last["item"]
-        end = F.struct(*[F.lit(v) for v in (item["finish"], item["queue"], item["place"], item["sent"], item["turn"])])
+        kinds = {"finish": "double", "queue": "string", "place": "string", "sent": "long", "turn": "int"}
+        end = F.struct(*[F.lit(item[k]).cast(kind).alias(k) for k, kind in kinds.items()])
         inside = _item(finish, turn) <= end
     before = (first < b1) | ((first == b1) & (second < b2)) | ((first == b1) & (second == b2) & inside)
     return F.when(before, 1).otherwise(0)
