@@ -126,7 +126,7 @@ PLAIN = {
 def holds(kind, hit):
     d = re.sub("[^0-9]", "", hit)
     if kind == "ip":
-        return all(int(p) <= 255 for p in hit.split("."))
+        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in hit.split("."))
     if kind == "card":
         total = sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(d)))
         return 13 <= len(d) <= 19 and total % 10 == 0
