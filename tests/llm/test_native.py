@@ -150,6 +150,8 @@ PRIVATE = [
     'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" end',
     'api key: "11acdfb36bb72224148e6160f674b4be45601bff"',
     "page 123456789 donaudampfschifffahrtsgesellschaft",
+    *[f'token = "{hashlib.sha1(str(n).encode()).hexdigest()}" end' for n in range(20)],
+    *[f"page {n}1234567 or dampfschifffahrtsgesellschaft{'x' * n}" for n in range(20)],
 ]
 
 
