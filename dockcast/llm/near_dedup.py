@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ BANDS, ROWS = 32, 4
 BUCKETS = BANDS * ROWS
 MANTISSA = 10
 BLOCK = 512
+CACHED = 256  # shingles hashed at a time, so that the hashes stay in a core's cache
 _U = np.uint64
 
 
@@ -60,7 +62,6 @@ def _drawn(seed: int, n: int) -> np.ndarray:
 _BYTE = _drawn(1, 256)
 _PLACE = _drawn(2, SHINGLE)
 _TIMES = _drawn(3, BUCKETS) | _U(1)
-_PLUS = _drawn(4, BUCKETS)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
@@ -112,7 +113,10 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
     out, at = [], 0
     for n in counts.tolist():
         if n >= SHINGLE:
-            out.append(np.unique(grams[at : at + n - SHINGLE + 1]))
+            own = np.sort(grams[at : at + n - SHINGLE + 1])
+            fresh = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=fresh[1:])
+            out.append(own[fresh])
         elif n:
             out.append(_mix((hashes[at : at + n] * _PLACE[:n]).sum(dtype=np.uint64, keepdims=True) + _U(n)))
         else:
@@ -124,9 +128,9 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
 def sketch(shingles: np.ndarray) -> np.ndarray:
     """The registers of a set that isn't empty."""
     low = np.full(BUCKETS, ~_U(0))
-    for start in range(0, len(shingles), 1024):
-        part = shingles[start : start + 1024, None] * _TIMES + _PLUS
-        np.minimum(low, part.min(axis=0), out=low)
+    for start in range(0, len(shingles), CACHED):
+        part = shingles[start : start + CACHED, None] * _TIMES
+        np.minimum(low, np.minimum.reduce(part, axis=0), out=low)
     fraction, exponent = np.frexp(low.astype(np.float64))
     zeros = np.clip(64 - exponent, 0, 63)
     bits = ((fraction - 0.5) * (2 << MANTISSA)).clip(0, (1 << MANTISSA) - 1)
@@ -279,62 +283,82 @@ def _groups(members: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame
 def _compared(best_only: bool):
     """Streams sorted groups and emits the pairs that may be links of different components."""
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch | None:
-        first = rows["first"].to_numpy()
-        left = np.flatnonzero(first)
-        right = np.flatnonzero(~first)
-        same = not len(right) and rows["one"][0] == rows["two"][0]
+    def pairs(g: _Rows, start: int, end: int) -> tuple[np.ndarray, np.ndarray] | None:
+        comp, size, first = g.comp[start:end], g.size[start:end], g.first[start:end]
+        if end - start < 2 or (comp == comp[0]).all():
+            return None
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        same = g.same[start]
         if same:
             right = left
-        if not len(left) or not len(right):
-            return None
-        comp = _codes(rows["comp"]).astype(np.int64)
-        size = rows["size"].to_numpy()
-        registers = _registers(rows["sketch"].combine_chunks())
-        bucket = bands(registers)
-        here = int(np.flatnonzero(bucket[0] == _U(rows["bucket"][0].as_py() & ((1 << 64) - 1)))[0])
         i, j = np.nonzero(comp[left][:, None] != comp[right][None, :])
         i, j = left[i], right[j]
         ok = (i < j) if same else np.ones(len(i), bool)
         ok &= 100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j])
         i, j = i[ok], j[ok]
+        if not len(i):
+            return None
+        registers = _registers(g.sketch[start:end])
+        bucket = bands(registers)
+        here = int(np.flatnonzero(bucket[0] == g.bucket[start])[0])
         found = []
-        for start in range(0, len(i), 50_000):
-            a, b = i[start : start + 50_000], j[start : start + 50_000]
-            fresh = ~(bucket[a, :here] == bucket[b, :here]).any(axis=1)  # not met in an earlier band
-            a, b = a[fresh], b[fresh]
+        for at in range(0, len(i), 50_000):
+            a, b = i[at : at + 50_000], j[at : at + 50_000]
+            if here:
+                fresh = ~(bucket[a, :here] == bucket[b, :here]).any(axis=1)  # not met in an earlier band
+                a, b = a[fresh], b[fresh]
             guess = estimate((registers[a] == registers[b]).mean(axis=1), size[a], size[b])
             near = guess >= _least()
             found.append((a[near], b[near], guess[near]))
-        a, b, guess = (np.concatenate(x) for x in zip(*found, strict=True)) if found else ([], [], [])
-        if not len(a):
-            return None
-        if best_only:
+        a, b, guess = (np.concatenate(x) for x in zip(*found, strict=True))
+        if best_only and len(a) > 1:
             order = np.argsort(-guess, kind="stable")
             a, b = a[order], b[order]
-            _, top = np.unique(np.minimum(comp[a], comp[b]) * len(comp) + np.maximum(comp[a], comp[b]), return_index=True)
+            span = int(g.comp.max()) + 1
+            _, top = np.unique(np.minimum(comp[a], comp[b]) * span + np.maximum(comp[a], comp[b]), return_index=True)
             a, b = a[top], b[top]
-        node = rows["node"].combine_chunks()
-        return pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], names=["a", "b"])
+        return (a + start, b + start) if len(a) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            rest = table if rest is None else pa.concat_tables([rest, table])
-            starts = _starts(rest)
-            for s, e in zip(starts[:-1], starts[1:], strict=True):
-                if (out := pairs(rest.slice(s, e - s))) is not None:
-                    yield out
-            rest = rest.slice(starts[-1]).combine_chunks()
-        if rest is not None and rest.num_rows and (out := pairs(rest)) is not None:
-            yield out
+            table = (table if rest is None else pa.concat_tables([rest, table])).combine_chunks()
+            starts = _starts(table)
+            yield from compare(table, starts)
+            rest = table.slice(starts[-1])
+        if rest is not None and rest.num_rows:
+            yield from compare(rest.combine_chunks(), [0, rest.num_rows])
+
+    def compare(table: pa.Table, starts: list[int]) -> Iterator[pa.RecordBatch]:
+        g = _Rows.of(table)
+        found = [x for s, e in zip(starts[:-1], starts[1:], strict=True) if (x := pairs(g, s, e)) is not None]
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            node = table["node"].combine_chunks()
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], names=["a", "b"])
 
     return run
 
 
-def _codes(column: pa.ChunkedArray) -> np.ndarray:
-    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+class _Rows(NamedTuple):
+    """Columns of sorted groups; components as numbers that hold within this table."""
+
+    bucket: np.ndarray
+    comp: np.ndarray
+    size: np.ndarray
+    first: np.ndarray
+    same: np.ndarray
+    sketch: pa.Array
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> _Rows:
+        one, two = (np.stack([c.to_numpy() for c in rows[k].combine_chunks().flatten()]) for k in ("one", "two"))
+        return cls(
+            rows["bucket"].to_numpy().view(np.uint64),
+            rows["comp"].combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64),
+            rows["size"].to_numpy(), rows["first"].to_numpy(), (one == two).all(axis=0), rows["sketch"].combine_chunks(),
+        )
 
 
 def _starts(rows: pa.Table) -> list[int]:
