@@ -8,8 +8,9 @@
    (1 - 0.75 ** 4) ** 32 = 5e-6, pairs above it less.
 3. Each node is first held against one node only, the smallest leader of its buckets. What is
    confirmed is merged into components. After that, buckets whose nodes lie in different
-   components are compared in blocks, first for the best partner in each other component, then
-   for all partners; pairs inside a component are never made. Blocks are cut by size class (a
+   components are compared in blocks: in ``BEST_ROUNDS`` rounds for each node's best partner in
+   another component, one pair for a node, then for all partners that are left; pairs inside a
+   component are never made. Blocks are cut by size class (a
    link's sizes differ by a quarter at most) and, where large, by hash.
 4. Every candidate is estimated from the sketches, corrected for registers that are equal by
    chance, and dropped only if the estimate is five standard errors below the threshold. The
@@ -44,6 +45,7 @@ BANDS, ROWS = 32, 4
 BUCKETS = BANDS * ROWS
 MANTISSA = 10
 BLOCK = 512
+BEST_ROUNDS = 4
 CACHED = 256  # shingles hashed at a time, so that the hashes stay in a core's cache
 _U = np.uint64
 
@@ -283,7 +285,7 @@ def _groups(members: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame
 def _compared(best_only: bool):
     """Streams sorted groups and emits the pairs that may be links of different components."""
 
-    def pairs(g: _Rows, start: int, end: int) -> tuple[np.ndarray, np.ndarray] | None:
+    def pairs(g: _Rows, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         comp, size, first = g.comp[start:end], g.size[start:end], g.first[start:end]
         if end - start < 2 or (comp == comp[0]).all():
             return None
@@ -311,13 +313,12 @@ def _compared(best_only: bool):
             near = guess >= _least()
             found.append((a[near], b[near], guess[near]))
         a, b, guess = (np.concatenate(x) for x in zip(*found, strict=True))
-        if best_only and len(a) > 1:
+        if best_only and len(a) > 1:  # each row's best partner
             order = np.argsort(-guess, kind="stable")
-            a, b = a[order], b[order]
-            span = int(g.comp.max()) + 1
-            _, top = np.unique(np.minimum(comp[a], comp[b]) * span + np.maximum(comp[a], comp[b]), return_index=True)
-            a, b = a[top], b[top]
-        return (a + start, b + start) if len(a) else None
+            both = np.concatenate([a[order], b[order]]).reshape(2, -1).T.ravel()
+            top = np.unique(np.unique(both, return_index=True)[1] // 2)
+            a, b, guess = a[order][top], b[order][top], guess[order][top]
+        return (a + start, b + start, guess) if len(a) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -334,9 +335,9 @@ def _compared(best_only: bool):
         g = _Rows.of(table)
         found = [x for s, e in zip(starts[:-1], starts[1:], strict=True) if (x := pairs(g, s, e)) is not None]
         if found:
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+            a, b, guess = (np.concatenate(x) for x in zip(*found, strict=True))
             node = table["node"].combine_chunks()
-            yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b)), pa.array(guess)], names=["a", "b", "guess"])
 
     return run
 
@@ -378,8 +379,13 @@ def _partners(members: DataFrame, nodes: DataFrame, comps: DataFrame, best_only:
     groups = _groups(members, nodes, comps)
     keys = ["bucket", "one", "two"]
     sorted_groups = groups.repartition(*keys).sortWithinPartitions(*keys)
-    found = sorted_groups.mapInArrow(_compared(best_only), "a binary, b binary")
-    return materialise(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    found = sorted_groups.mapInArrow(_compared(best_only), "a binary, b binary, guess double")
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "guess")
+    if best_only:  # one pair for each node, whatever the number of its buckets
+        sides = F.inline(F.array(F.struct(F.col("a").alias("node")), F.struct(F.col("b").alias("node"))))
+        top = pairs.select("a", "b", "guess", sides).groupBy("node").agg(F.max(F.struct("guess", "a", "b")).alias("top"))
+        pairs = top.select("top.*")
+    return materialise(pairs.select("a", "b").distinct(), "near-pairs")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -415,15 +421,14 @@ def classes(docs: DataFrame) -> DataFrame:
     tested = materialise(likely, "near-pairs")
     links = _links(tested, texts)
     comps = components(links)
-    for best_only in (True, False):
+    for turn in range(BEST_ROUNDS + 1):
+        best_only = turn < BEST_ROUNDS
         pairs = _partners(members, nodes, comps, best_only).join(tested, ["a", "b"], "left_anti")
         more = _links(pairs, texts)
-        if not best_only:
+        if not more.isEmpty():
             links = links.unionByName(more)
-            break
-        tested, links = tested.unionByName(pairs), links.unionByName(more)
-        comps = components(links)
-    comps = components(links)
+            comps = components(links)
+        tested = tested.unionByName(pairs)
     ids = nodes.select("node", "smallest").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = ids.groupBy("comp").agg(F.min("smallest").alias("component_id"))
     named = ids.join(least, "comp").select("node", F.col("component_id").alias("found"))
