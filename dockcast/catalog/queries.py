@@ -36,9 +36,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 ROUND = 6
 _REGISTRY: dict[str, Query] = {}
 
-# Small model for checks; the production setting is the default of ForecastParams.
-CHECK_MODEL = ForecastParams(max_iter=2, max_depth=3, step_size=0.3)
-
 
 def query(fn: Query) -> Query:
     _REGISTRY[fn.__name__] = fn
@@ -549,25 +546,35 @@ def station_clusters_bisecting(spark, sf):
 
 @query
 def cluster_forecast(spark, sf):
+    """A production model for every label."""
     data = _model(spark, sf, keep_period=True)
-    labels = roles.labels(spark, sf).withColumn("cluster", F.floor(F.col("cluster") / 9).cast("int"))
     train, test = cleaning.split_by_date(data, date(2024, 1, 28))
-    return forecast.forecast_all(train, test, labels, CHECK_MODEL)
+    return forecast.forecast_all(train, test, roles.labels(spark, sf))
 
 
-@query
-def forecast_one_split(spark, sf):
+def _one_split(spark, sf, labels):
     """A single tree with one split on the business day: each cluster's train mean of either kind of day."""
     data = _model(spark, sf, keep_period=True)
     train, test = cleaning.split_by_date(data, date(2024, 1, 26))
     single = ForecastParams(max_iter=1, max_depth=1, subsampling_rate=1.0, feature_subset="all")
-    labels = roles.labels(spark, sf).withColumn("cluster", F.floor(F.col("cluster") / 9).cast("int"))
     return rounded(forecast.forecast_all(train, test, labels, single, ["business_day"]), ["pred"])
 
 
+@query
+def forecast_one_split(spark, sf):
+    """Nine labels make one cluster, as in its SQL; ``forecast_one_split_labels`` has them all."""
+    labels = roles.labels(spark, sf).withColumn("cluster", F.floor(F.col("cluster") / 9).cast("int"))
+    return _one_split(spark, sf, labels)
+
+
+@query
+def forecast_one_split_labels(spark, sf):
+    return _one_split(spark, sf, roles.labels(spark, sf))
+
+
 @query
 def rolling_forecast(spark, sf):
     run = forecast.rolling_forecast(
-        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), date(2024, 1, 29), n_clusters=16, params=CHECK_MODEL
+        _trips(spark, sf), roles.station(spark, sf), _period(spark, sf), date(2024, 1, 29), n_clusters=16
     )
     return run.scores

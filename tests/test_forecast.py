@@ -1,9 +1,11 @@
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from dockcast.catalog import queries
 from dockcast.config import EngineConfig, ForecastParams
 from dockcast.operators.cleaning import split_by_date
 from dockcast.plans import episodes, forecast, run
@@ -11,6 +13,7 @@ from dockcast.schemas import HOUR_PERIODS
 from dockcast.sources.files import Prepared, save_prepared
 from tests.test_grid import DAY, _random_trips, _station, _trips, _weather_period
 
+SF = "/root/testdata/sf0.01"
 FAST = ForecastParams(max_iter=2, max_depth=2, step_size=0.5)
 
 
@@ -100,3 +103,35 @@ def test_inclusive_end_adds_the_midnight_trip(spark):
     assert kept.filter(F.col("starttime_dt") == F.lit(midnight.isoformat()).cast("timestamp_ntz")).count() == 1
     assert kept.count() == 3
     assert {(r.date, r.hour_period) for r in kept.filter("hour = 0").collect()} == {(date(2016, 7, 3), "6,21-24")}
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+def test_registered_forecasts_fit_the_production_model(spark, monkeypatch):
+    """Every label has a model of its own, and no query passes a smaller one."""
+    asked = {}
+
+    def fit(train, test, labels, params=ForecastParams(), *rest):
+        asked["labels"], asked["params"] = {r.cluster for r in labels.collect()}, params
+        return test
+
+    def roll(*args, params=ForecastParams(), **options):
+        asked["rolling"] = params
+        return forecast.Rolling(*[args[0]] * 4)
+
+    monkeypatch.setattr(queries.forecast, "forecast_all", fit)
+    monkeypatch.setattr(queries.forecast, "rolling_forecast", roll)
+    queries.cluster_forecast(spark, SF)
+    assert len(asked["labels"]) == 25 and asked["params"] == ForecastParams()
+    queries.rolling_forecast(spark, SF)
+    assert asked["rolling"] == ForecastParams()
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+def test_one_split_of_every_label_is_its_train_mean(spark):
+    got = queries.forecast_one_split_labels(spark, SF).toPandas()
+    assert got.cluster.nunique() == 25 and (got.status == "ok").all()
+    data = queries._model(spark, SF, keep_period=True).select("s_sta_id", "date", "trip_count", "business_day").toPandas()
+    data["cluster"] = data.s_sta_id.map({r.sta_id: r.cluster for r in queries.roles.labels(spark, SF).collect()})
+    want = data[data.date < date(2024, 1, 26)].groupby(["cluster", "business_day"]).trip_count.mean()
+    kind = data.drop_duplicates("date").set_index("date").business_day
+    assert got.pred.tolist() == pytest.approx([want[c, kind[d]] for c, d in zip(got.cluster, got.date, strict=True)], abs=1e-5)
