@@ -14,8 +14,9 @@ A text is cut into chunks. A chunk's state map says what it does to any state at
 part before its first safe cut is still open, from there to its last safe cut the count doesn't
 depend on the start, and the rest is open again. (A safe cut is a space between characters that
 are no blanks; pieces never cross it.) Two maps compose into one by running the open parts
-between them; the composition is associative, and the maps of a text are composed in a
-parallel prefix scan, whose last element is the count.
+between them; the composition is associative, and the maps of a text are composed in pairs,
+round by round. Only the maps of one round are kept, so the open parts take the text's size at
+most. Text in which no safe cut is found is joined and run once, when all its chunks are together.
 
 Special strings in the text count one each, as the file's library has it by default. Null
 text is an empty one and has no tokens. Repeated rows get equal results; other columns of the
@@ -38,9 +39,11 @@ from dockcast.llm.common import slices, texts_of
 
 CHUNK_CHARS = 8192
 MAX_STATES = 200_000
+BLOCK = 4096
 FEW = 16
 NONE: frozenset[int] = frozenset()
 MAX_PIECES = 300_000
+MAX_KEPT = 256  # characters of a piece that is kept
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -136,12 +139,14 @@ class Transducer:
         return step
 
     def count(self, piece: bytes) -> int:
-        if len(self.states) > MAX_STATES:
-            self._reset()
         state, n = self.start, 0
-        for byte in piece:
-            state, change = state.step.get(byte) or self._compile(state, byte)
-            n += change
+        for k in range(0, len(piece), BLOCK):
+            if len(self.states) > MAX_STATES:
+                self._reset()
+                state = self._state(state.open)
+            for byte in piece[k : k + BLOCK]:
+                state, change = state.step.get(byte) or self._compile(state, byte)
+                n += change
         return n
 
 
@@ -153,9 +158,11 @@ class Pieces(dict):
         self.transducer = transducer
 
     def __missing__(self, piece: str) -> int:
-        if len(self) > MAX_PIECES:
-            self.clear()
-        n = self[piece] = self.transducer.count(piece.encode())
+        n = self.transducer.count(piece.encode())
+        if len(piece) <= MAX_KEPT:
+            if len(self) > MAX_PIECES:
+                self.clear()
+            self[piece] = n
         return n
 
 
@@ -174,7 +181,7 @@ class StateMap(NamedTuple):
 class Counter:
     def __init__(self, tokens: dict[bytes, int], merges: dict[tuple[bytes, bytes], int], pattern: str, special: list[str]):
         self.pieces = Pieces(Transducer(tokens, merges))
-        self._split = regex.compile(pattern).findall
+        self._pattern = regex.compile(pattern)
         self._special = re.compile("|".join(re.escape(s) for s in sorted(special, key=len, reverse=True))) if special else None
 
     @classmethod
@@ -193,7 +200,9 @@ class Counter:
         return cls(tokens, {(raw(a), raw(b)): k for k, (a, b) in enumerate(pairs)}, pattern, special)
 
     def _run(self, text: str) -> int:
-        return sum(map(self.pieces.__getitem__, self._split(text)))
+        if len(text) > 8 * CHUNK_CHARS:  # not all pieces at a time
+            return sum(self.pieces[found.group()] for found in self._pattern.finditer(text))
+        return sum(map(self.pieces.__getitem__, self._pattern.findall(text)))
 
     def state_map(self, chunk: str) -> StateMap:
         first = _SAFE.search(chunk)
@@ -211,21 +220,18 @@ class Counter:
             return StateMap(left.head, left.count + self._run(open_text) + right.count, right.tail, True)
         return StateMap(left.head, left.count, open_text, True)
 
-    def scan(self, maps: list[StateMap]) -> list[StateMap]:
-        """Inclusive prefixes under composition, in a logarithmic number of rounds."""
-        if len(maps) < 2:
-            return maps
-        pairs = self.scan([self.compose(a, b) for a, b in zip(maps[::2], maps[1::2], strict=False)])
-        out = [maps[0]]
-        for k in range(1, len(maps)):
-            out.append(pairs[k // 2] if k % 2 else self.compose(pairs[k // 2 - 1], maps[k]))
-        return out
+    def reduce(self, maps: list[StateMap]) -> StateMap:
+        """The composition of all, in a logarithmic number of rounds."""
+        while len(maps) > 1:
+            pairs = [self.compose(a, b) for a, b in zip(maps[::2], maps[1::2], strict=False)]
+            maps = pairs + maps[2 * len(pairs) :]
+        return maps[0]
 
     def _count_plain(self, text: str, chunk: int) -> int:
         if not text:
             return 0
         maps = [self.state_map(text[k : k + chunk]) for k in range(0, len(text), chunk)]
-        whole = self.scan(maps)[-1]
+        whole = self.reduce(maps)
         return self._run(whole.head) + whole.count + (self._run(whole.tail) if whole.tail else 0)
 
     def count(self, text: str, chunk: int = CHUNK_CHARS) -> int:

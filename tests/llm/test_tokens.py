@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -53,6 +54,31 @@ def test_composition_is_associative():
     assert total(left) == total(right) == counter.count("one two three four five")
 
 
+@pytest.mark.parametrize("made", ["x9/Qr", "日本語文", "aB3"])
+def test_text_without_cuts_takes_memory_in_proportion(made):
+    counter = token_count.counter(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    text = made * (150_000 // len(made))
+    want = len(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids)
+    counter.count(text[:1000], 64)
+    tracemalloc.start()
+    try:
+        assert counter.count(text, 64) == want
+        assert tracemalloc.get_traced_memory()[1] < 60 * len(text)
+    finally:
+        tracemalloc.stop()
+
+
+def test_tables_are_bounded_inside_a_piece(monkeypatch):
+    monkeypatch.setattr(token_count, "MAX_STATES", 300)
+    monkeypatch.setattr(token_count, "BLOCK", 64)
+    counter = token_count.Counter.from_json(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    draw = random.Random(5)
+    text = "".join(draw.choice("abcdefghijklmnopqrstuvwxyzé日本語") for _ in range(20_000))
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    assert len(counter.pieces.transducer.states) <= 300 + 64 + 1 and text not in counter.pieces
+
+
 def test_rows_without_text_and_repeated(spark, plain):
     rows = [(1, None, 0), (1, None, 0), (None, "a b", 1), (3, "", 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long")
