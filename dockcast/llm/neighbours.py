@@ -1,13 +1,15 @@
 """Quality by votes of the nearest labelled texts in a latent-semantic space.
 
-A text's terms are what its words look like, not what they say: the shape of each word (runs of
-upper and lower case, digits and every other character), pairs of neighbouring shapes, and
-marks for words that stutter, for words inside repeated windows and for repeated lines. Terms
-are hashed into ``TERMS`` slots and weighted by the share of a text they take, dampened, and by
-how few texts hold them. The leading singular vectors of a bounded labelled sample span the
-latent space. The sample's vectors are broadcast (at most ``SAMPLE_ROWS`` of ``DIMS`` numbers),
-and every text is held against all of them by blocked cosine products. The ``NEAREST`` vote,
-each with its similarity's weight.
+A text's terms are its words (lower case, without signs around them) and what the words look
+like: the shape of each word (runs of upper and lower case, digits and every other character),
+pairs of neighbouring shapes, and marks for words that stutter, for words inside repeated
+windows and for repeated lines. Long words and words of scripts without blanks count as the
+character trigrams they hold. Words are hashed into ``WORDS`` slots, the rest into ``SHAPES``. Both
+kinds are weighted by the share of a text they take, dampened, and by how few texts hold them, and
+stand side by side, each kind as a vector of length one. The leading singular vectors of a bounded labelled
+sample span the latent space. The sample's vectors are broadcast (at most ``SAMPLE_ROWS`` of
+``DIMS`` numbers), and every text is held against all of them by blocked cosine products. The
+``NEAREST`` vote, each with its similarity's weight.
 
 Null and empty texts have no terms; their score is the share of good labels, as is every score
 if there are no labels (then 0). Repeated rows get equal results; other input columns don't matter.
@@ -15,6 +17,7 @@ if there are no labels (then 0). Repeated rows get equal results; other input co
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -27,11 +30,18 @@ from dockcast.llm.common import slices, texts_of
 from dockcast.llm.sample import training_texts
 
 SAMPLE_ROWS = 4000
-TERMS = 1024
-DIMS = 32
+WORDS = 8192
+SHAPES = 1024
+TERMS = SHAPES + WORDS
+DIMS = 64
+SPARE = 16  # further directions while the leading ones are sought
+STEPS = 8
+LONG = 16  # characters of a word that is more than one term
+GRAM = 3
 NEAREST = 25
 WINDOW = 5
 MEMO = 300_000
+_SIGNS = re.compile(r"^[\W_]+|[\W_]+$")
 _MARKS = 8  # slots of their own, before the hashed ones
 
 
@@ -50,21 +60,42 @@ def shape(word: str) -> str:
         kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != kind:
             out.append(kind)
-    return "".join(out[:8])
+    return "".join(out)
+
+
+def _is_long(word: str) -> bool:
+    return len(word) > LONG or max(word) >= "\u0e00"  # from there on scripts without blanks
 
 
 class Terms:
-    """Counts of hashed terms; shapes of words met lately are kept."""
+    """Counts of hashed terms; the codes of words met lately are kept."""
 
     def __init__(self):
         self.known: dict[str, int] = {}
 
     def _code(self, word: str) -> int:
+        """Shape, and above it one more than the word's slot; 0 there if the word is long."""
         if len(self.known) > MEMO:
             self.known.clear()
-        code = self.known[word] = zlib.crc32(shape(word).encode())
+        slot = 0 if _is_long(word) else 1 + _word_slot(word)
+        code = zlib.crc32(shape(word).encode()) | slot << 32
+        if len(word) <= 4 * LONG:
+            self.known[word] = code
         return code
 
+    def _words(self, words: list[str], slots: np.ndarray) -> np.ndarray:
+        out = np.bincount(slots[slots > 0] - 1, minlength=WORDS).astype(np.float32)
+        for i in np.flatnonzero(slots == 0):
+            word = words[i].lower()
+            grams = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
+            n = max(1, len(grams) - GRAM + 1)
+            code = np.zeros(n, np.uint64)
+            for k in range(min(GRAM, len(grams))):
+                code = code * np.uint64(0x9E3779B1) + grams[k : k + n] + np.uint64(1)
+            found = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(WORDS)
+            out += np.bincount(found.astype(np.int64), minlength=WORDS)
+        return out
+
     def counts(self, text: str) -> np.ndarray:
         out = np.zeros(TERMS, np.float32)
         words = text.split()
@@ -72,11 +103,12 @@ class Terms:
         if not n:
             return out
         known, code = self.known, self._code
-        shapes = np.fromiter((known[w] if w in known else code(w) for w in words), np.uint64, n)
+        codes = np.fromiter((known[w] if w in known else code(w) for w in words), np.uint64, n)
+        shapes = codes & np.uint64(0xFFFFFFFF)
         pairs = shapes[:-1] * np.uint64(31) + shapes[1:]
-        room = np.uint64(TERMS - _MARKS)
+        room = np.uint64(SHAPES - _MARKS)
         slots = np.concatenate([shapes % room, (pairs * np.uint64(0x9E3779B1) >> np.uint64(7)) % room]).astype(np.int64) + _MARKS
-        out += np.bincount(slots, minlength=TERMS)
+        out[:SHAPES] += np.bincount(slots, minlength=SHAPES)
         same = np.fromiter(map(hash, words), np.int64, n)
         out[0] = (same[1:] == same[:-1]).sum()
         if n > WINDOW:
@@ -85,11 +117,19 @@ class Terms:
             out[1] = (times[which] > 1).sum()
         lines = [line for line in text.split("\n") if line.strip()]
         out[2] = (len(lines) - len(set(lines))) * n / max(1, len(lines))
+        found = self._words(words, (codes >> np.uint64(32)).astype(np.int64))
+        out[SHAPES:] = found * (n / max(1.0, float(found.sum())))
         return out / n
 
 
+def _word_slot(word: str) -> int:
+    plain = _SIGNS.sub("", word.lower()) or word
+    return zlib.crc32(plain.encode()) % WORDS
+
+
 def _weights(shares: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    return np.sqrt(shares) * rarity
+    weighted = np.sqrt(shares) * rarity
+    return np.concatenate([_unit(weighted[:, :SHAPES]), _unit(weighted[:, SHAPES:])], axis=1)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -97,25 +137,42 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
 
 
+def _leading(rows: np.ndarray) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration from a fixed start."""
+    width = min(DIMS + SPARE, *rows.shape)
+    basis = np.random.default_rng(7).standard_normal((rows.shape[0], width)).astype(np.float32)
+    for _ in range(STEPS):
+        side, _ = np.linalg.qr(rows.T @ basis)
+        basis, _ = np.linalg.qr(rows @ side)
+    _, _, axes = np.linalg.svd(basis.T @ rows, full_matrices=False)
+    return np.ascontiguousarray(axes[:DIMS].T)
+
+
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     terms = Terms()
     for part in slices(batches):
-        rows = [terms.counts(t).tobytes() for t in texts_of(part)]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), part.column("label")], names=["terms", "label"])
+        rows = [terms.counts(t) for t in texts_of(part)]
+        held = [np.flatnonzero(r) for r in rows]
+        slots = pa.array([h.astype(np.uint16).tobytes() for h in held], pa.binary())
+        shares = pa.array([r[h].tobytes() for r, h in zip(rows, held, strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([slots, shares, part.column("label")], names=["slots", "shares", "label"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    sample = training_texts(docs, labels, "quality", rows).mapInArrow(_sampled, "terms binary, label int")
-    got = sorted((r["terms"], r["label"]) for r in sample.collect())  # bounded by ``rows``
+    sample = training_texts(docs, labels, "quality", rows).mapInArrow(_sampled, "slots binary, shares binary, label int")
+    got = sorted((bytes(r["slots"]), bytes(r["shares"]), r["label"]) for r in sample.collect())  # bounded by ``rows``
     if not got:
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.0)
-    shares = np.stack([np.frombuffer(bytes(t), np.float32) for t, _ in got])
-    y = np.array([float(label) for _, label in got])
+    shares = np.zeros((len(got), TERMS), np.float32)
+    for row, (slots, values, _) in zip(shares, got, strict=True):
+        row[np.frombuffer(slots, np.uint16)] = np.frombuffer(values, np.float32)
+    y = np.array([float(label) for _, _, label in got])
+    del got
     rarity = np.log((1 + len(shares)) / (1 + (shares > 0).sum(axis=0))).astype(np.float32) + np.float32(0.3)
-    weighted = _unit(_weights(shares, rarity))
-    values, axes = np.linalg.eigh(weighted.T.astype(np.float64) @ weighted)
-    axes = axes[:, np.argsort(values)[::-1][:DIMS]].astype(np.float32)
-    return Model(rarity, axes, _unit(weighted @ axes), y, float(y.mean()))
+    for start in range(0, len(shares), 256):
+        shares[start : start + 256] = _weights(shares[start : start + 256], rarity)
+    axes = _leading(shares)
+    return Model(rarity, axes, _unit(shares @ axes), y, float(y.mean()))
 
 
 def vote(model: Model, shares: np.ndarray) -> np.ndarray:

@@ -45,6 +45,20 @@ def test_scores_of_no_text_and_no_labels(spark):
         assert module.score(docs.limit(0), module.fit(docs, labels)).count() == 0
 
 
+def test_quality_depends_on_words_of_equal_layout(spark):
+    terms = neighbours.Terms()
+    assert (terms.counts("buy cheap pills now") != terms.counts("the court held that")).any()
+    assert (terms.counts("便宜药丸") != terms.counts("法院认为")).any()
+    assert neighbours.shape("a-b-c-d-e-f") != neighbours.shape("a-b-c-d-g1-f")
+    draw = random.Random(3)
+    kinds = {0: "buy cheap pills now best price order today win cash".split(), 1: "the court held that law of the case was plain".split()}
+    rows = [(i, " ".join(draw.choice(kinds[i % 2]) for _ in range(30))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in neighbours.score(docs, neighbours.fit(docs, labels)).collect()}
+    assert all((got[i] > 0.5) == (i % 2 == 1) for i in range(300, 400))
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 @pytest.mark.parametrize(("name", "label", "least"), [("op4_toxicity", "toxic", 0.93), ("op9_quality_classifier", "quality", 0.95)])
 def test_held_out_accuracy(spark, name, label, least):
