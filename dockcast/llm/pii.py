@@ -2,7 +2,10 @@
 classifier trained on the result decides about the spans no fixed rule covers.
 
 Base spans come from one pattern and one check per kind and always stay. Candidates are looser
-spans that touch no base span: long tokens, groups of digits, and addresses without a dot. Five
+spans that touch no base span: long tokens, runs and groups of digits, account numbers in groups,
+addresses without a dot, and what stands right after a word of the first gazetteer: groups of
+digits, tokens with a digit, and any token after an assignment sign. (Those after a word that touch
+another candidate are left to it.) Five
 labelers vote yes, no or nothing on each: strict forms, what the span consists of, a gazetteer
 of words that stand before personal data, a gazetteer of words that stand before harmless
 numbers, and the signs between that word and the span (assignment, colon). Votes are counted
@@ -42,14 +45,28 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}+",
-    "number": r"(?<![A-Za-z0-9.+])[0-9]{6,}+(?![A-Za-z0-9])|\([0-9]{2,4}\) ?[0-9]{3,4}-[0-9]{4}",
-    "address": rf"(?<!{_LOCAL}){_LOCAL}++@[A-Za-z0-9-]++(?![.A-Za-z0-9-])",
+    "number": r"(?<![A-Za-z0-9.+])[0-9]{6,}+(?![A-Za-z0-9])|\([0-9]{2,4}\) ?[0-9]{3,4}[\x20.-][0-9]{4}"
+    r"|(?<![A-Za-z0-9.+-])[0-9]{2,4}([\x20.-])[0-9]{2,4}(?:\1[0-9]{2,4}){1,6}(?!\1[0-9]|[A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}){1,7}\x20(?=[A-Z]*[0-9])[A-Z0-9]{1,4}(?![A-Za-z0-9])",
+    "address": rf"(?<!{_LOCAL}){_LOCAL}++@[A-Za-z0-9-]++(?!\.[A-Za-z0-9-])",
 }
 # A text without this has no match of the kind.
-HINTS = {"email": "@", "ip": r"\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "secret": "[A-Za-z0-9_+/-]{20}", "number": "[0-9]{4}", "address": "@"}
+HINTS = {"email": "@", "ip": r"\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]", "secret": "[A-Za-z0-9_+/-]{20}", "number": "[0-9]{2}", "address": "@"}
 GAZETTEER = "token key secret password passwd pwd pass api auth bearer account iban ssn passport phone tel telephone mobile fax card visa mail email contact".split()
 HARMLESS = "page order item number no figure fig table section chapter isbn doi issn version year id line total sum row".split()
-FORMS = r"^([0-9a-f]{32,}|[0-9A-F]{32,}|(AKIA|ASIA)[0-9A-Z]{16}|(sk|pk|ghp|xox[bp])[_-].{16,}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4})$"
+FORMS = (
+    r"^([0-9a-f]{32,}|[0-9A-F]{32,}|(AKIA|ASIA)[0-9A-Z]{16}|(sk|pk|ghp|xox[bp])[_-].{16,}|\([0-9]{3}\) ?[0-9]{3}[\x20.-][0-9]{4}"
+    r"|[0-9]{3}([\x20.-])[0-9]{3}\5[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(\x20[A-Z0-9]{4}){2,7}(\x20[A-Z0-9]{1,4})?)$"
+)
+# What stands after a word of the gazetteer, on the same line, with signs between at most.
+_WORD = rf"(?<=(?<!\p{{L}})(?i:{'|'.join(GAZETTEER)})"
+_TOKEN = r"[^\s\x22'`<>(){}\[\],;]*[A-Za-z0-9]"
+PATTERNS["after"] = (
+    r"(?<![A-Za-z0-9_+/-])(?:"
+    rf"{_WORD}[^\p{{L}}\p{{N}}\n]{{1,6}})(?:[0-9]++(?:[\x20.-][0-9]++){{1,9}}(?![A-Za-z0-9])|(?=[^\s0-9]{{0,64}}[0-9])(?=\S{{4}}){_TOKEN})"
+    rf"|{_WORD}[^\p{{L}}\p{{N}}\n]{{0,5}}[=:][^\p{{L}}\p{{N}}\n]{{0,5}})(?=\S{{4}}){_TOKEN})"
+)
+HINTS["after"] = rf"(?i)(?<!\p{{L}})(?:{'|'.join(GAZETTEER)})(?!\p{{L}})"
 LABELERS = ["form", "make", "before", "harmless", "signs"]
 CONTEXT = 24
 SLOTS = 256
@@ -123,7 +140,8 @@ def _judged(text: Column, span: Column) -> Column:
         word = F.lower(F.regexp_extract(before, r"([\p{L}]+)[^\p{L}]*$", 1))
         signs = F.regexp_extract(before, r"([^\p{L}]*)$", 1)
         make = F.regexp_replace(F.regexp_replace(F.regexp_replace(span["hit"], "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0")
-        mixed = (F.length(_digits(span["hit"])) >= 4) & span["hit"].rlike("[A-Za-z]")
+        least = F.when(F.length(span["hit"]) >= 20, 4).otherwise(1)
+        mixed = (F.length(_digits(span["hit"])) >= least) & span["hit"].rlike("[A-Za-z]")
         vote = lambda yes, no=None: F.when(yes, 1).when(F.lit(False) if no is None else no, -1).otherwise(0)
         votes = [
             vote(span["hit"].rlike(FORMS), (span["kind"] == "number") & (F.length(span["hit"]) < 9)),
@@ -152,13 +170,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     text = F.col("text")
     loose = F.concat(*[_found(text, k) for k in ADDED])
-    spans = source.select("doc_id", "text", F.concat(*[_found(text, k) for k in BASE]).alias("base"), loose.alias("loose"))
-    touches = lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    kind = lambda hit: F.when(hit.rlike("[A-Za-z]"), "secret").otherwise("number")
+    after = F.transform(_found(text, "after"), lambda s: F.struct(kind(s["hit"]).alias("kind"), s["start"], s["end"], s["hit"]))
+    spans = source.select(
+        "doc_id", "text", F.concat(*[_found(text, k) for k in BASE]).alias("base"), loose.alias("loose"), after.alias("after")
+    )
+    touches = lambda s, others: F.exists(others, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    tried = F.concat(
+        F.filter("loose", lambda s: ~touches(s, "base")),
+        F.filter("after", lambda s: ~touches(s, "base") & ~touches(s, "loose")),
+    )
     return materialise(
         spans.select(
             "doc_id",
             F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"])).alias("base"),
-            F.transform(F.filter("loose", lambda s: ~touches(s)), lambda s: _judged(text, s)).alias("judged"),
+            F.transform(tried, lambda s: _judged(text, s)).alias("judged"),
         ), "pii-candidates",
     )
 

@@ -167,6 +167,39 @@ def test_base_spans_equal_plain_patterns(spark):
     assert pii.spans(docs(spark, []).limit(0)).count() == 0
 
 
+LOOSE = {
+    "SSN: 123-45-6789": "123-45-6789",
+    "call 312-555-0142": "312-555-0142",
+    "call 312 555 0142 now": "312 555 0142",
+    "phone 555-0142": "555-0142",
+    "IBAN DE89 3704 0044 0532 0130 00": "DE89 3704 0044 0532 0130 00",
+    "BE68 5390 0754 7034 THE": "BE68 5390 0754 7034",
+    "passport A1234567": "A1234567",
+    "password: hunter2pass": "hunter2pass",
+    "password = swordfish.": "swordfish",
+    "mail bob@corp.": "bob@corp",
+    "mail: bob@corp": "bob@corp",
+    "contact us on the page": None,
+    "mail a.b@c.de": None,
+    "12 34 x 5-6": None,
+}
+
+
+def test_spans_after_words_and_in_groups_are_candidates(spark):
+    texts = list(LOOSE)
+    found = {r.doc_id: r.judged for r in pii.candidates(docs(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    got = {t: [t[c.start:c.end] for c in found[i]] for i, t in enumerate(texts)}
+    assert got == {t: [hit] if hit else [] for t, hit in LOOSE.items()}
+
+
+def test_short_tokens_after_words_are_added(spark):
+    rows = [f"password: hunter{n}pass" for n in range(20)] + [f"SSN: 123-45-67{n}" for n in range(10, 30)]
+    rows += [f"page {n}1234567 or dampfschifffahrtsgesellschaft{'x' * n}" for n in range(40)]
+    got = {r.doc_id: r.added for r in pii.spans(docs(spark, [(i, t, "s") for i, t in enumerate(rows)])).collect()}
+    assert all([rows[i][s:e] for _, s, e in got[i]] == [rows[i].split(": ")[1]] for i in range(40))
+    assert all(got[i] == [] for i in range(40, 80))
+
+
 def test_reliabilities_separate_agreeing_votes():
     code = lambda *votes: sum((v + 1) * 3**k for k, v in enumerate(votes))
     share, rates, real = pii.reliabilities({code(1, 1, 1, 0, 1): 40, code(0, 1, 1, 0, 1): 10, code(0, -1, 0, -1, 0): 50, code(0, 0, 0, 0, 0): 100})
