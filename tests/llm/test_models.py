@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from dockcast.llm import neighbours, queries, toxicity
+from dockcast.llm import neighbours, queries, sample, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -59,6 +59,17 @@ def test_quality_depends_on_words_of_equal_layout(spark):
     assert all((got[i] > 0.5) == (i % 2 == 1) for i in range(300, 400))
 
 
+def test_sample_has_one_row_for_each_chosen_id(spark):
+    rows = [(1, f"text {n}") for n in range(50)] + [(1, None), (2, None), (2, None), (3, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 1, 2, 3)], "doc_id long, quality int")
+    held = {i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5 == 0}
+    found = sample.training_texts(docs, labels, "quality", 100).collect()
+    got = {(r.text, r.label) for r in found}
+    want = {1: ("text 0", 1), 2: (None, 0), 3: ("c", 1)}
+    assert len(found) == 3 - len(held) and got == {want[i] for i in want if i not in held}
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 @pytest.mark.parametrize(("name", "label", "least"), [("op4_toxicity", "toxic", 0.93), ("op9_quality_classifier", "quality", 0.95)])
 def test_held_out_accuracy(spark, name, label, least):
