@@ -157,7 +157,6 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
             begin = F.explode(F.array(*[F.concat(F.rtrim(F.substring("term", 1, k)), F.lit("*")) for k in BEGINS]))
             against = scored.where(~strong).withColumn("begin", begin)
             held = against.join(chosen.select(F.col("term").alias("begin")), "begin", "left_semi").select("term").distinct()
-            held = held.orderBy("term").limit(10 * TERMS)
             lexicon |= {r["term"]: 0.0 for r in held.collect() if r["term"] not in lexicon}
         return lexicon
     finally:
@@ -246,7 +245,7 @@ PASSAGES = "array<struct<start:int,end:int,score:double>>"
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: ``doc_id, score, passages`` (word numbers, end exclusive, of the significant ones)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 11 * TERMS terms
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # terms of the bounded sample with SUPPORT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
