@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockcast.llm import archive, bpe, exact_dedup, mixing, near_dedup, neighbours, pii, quality, token_count, toxicity
+from dockcast.llm import (
+    alignment,
+    archive,
+    bpe,
+    exact_dedup,
+    filter_audit,
+    mixing,
+    near_dedup,
+    neighbours,
+    pii,
+    quality,
+    sharding,
+    token_count,
+    toxicity,
+)
 from dockcast.llm.common import held_out, table
 
 TOKEN_LIMIT = 1024
@@ -81,12 +95,28 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, sf, "documents"), *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.shards(table(spark, sf, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         fn.__name__: fn
         for fn in (
             op1_quality_rules, op2_near_dedup, op3_pii, op4_toxicity, op5_bpe,
             op6_exact_dedup, op7_token_count, op8_warc, op9_quality_classifier, op10_mixing,
+            op11_alignment, op12_sharding, op13_filter_audit,
         )
     }
 
@@ -188,9 +218,77 @@ n AS (SELECT rid, count(*) AS times FROM k WHERE total <= budget GROUP BY rid)
 SELECT doc_id, size, source_size, target, size * coalesce(times, 0) AS taken FROM s LEFT JOIN n USING (rid)"""
 
 
+# Checksums by the table of the reversed polynomial, a byte at a time in chunks of 256 bytes counted from the
+# end; a chunk's checksum is then moved past the bytes behind it, bit by bit (p: each bit after j chunks of zeros).
+OP12_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS tab
+  FROM (SELECT CAST(range AS BIGINT) AS n FROM range(256))),
+p AS (
+  SELECT 0 AS j, CAST(range AS INT) AS k, CAST(1 AS BIGINT) << range AS v FROM range(32)
+  UNION ALL
+  SELECT j + 1, k, list_reduce(list_prepend(v, list_transform(range(256), lambda i: CAST(0 AS BIGINT))), lambda c, x: xor(c >> 8, tab[(c & 255) + 1]))
+  FROM p, t WHERE j < (SELECT max(strlen(text)) // 256 FROM documents)),
+d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+h AS (SELECT rid, strlen(text) AS n, hex(encode(text)) AS x FROM d),
+b AS (
+  SELECT rid, j, j + 1 >= n / 256 AS leads, substr(x, greatest(0, n - 256 * (j + 1)) * 2 + 1, (n - 256 * j - greatest(0, n - 256 * (j + 1))) * 2) AS x
+  FROM h, unnest(range(0, greatest(1, (n + 255) // 256))) AS u(j)),
+e AS (
+  SELECT rid, j, list_reduce(list_prepend(CASE WHEN leads THEN 4294967295 ELSE 0 END,
+    list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1])) AS own FROM b, t),
+c AS (
+  SELECT rid, xor(4294967295, bit_xor(CASE WHEN own >> k & 1 = 1 THEN v ELSE 0 END)) AS crc FROM e JOIN p USING (j) GROUP BY rid),
+s AS (
+  SELECT doc_id, source, strlen(text) + 1 AS size, crc,
+    md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(text)) AS place
+  FROM d JOIN c USING (rid)),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY place) AS rank, count(*) OVER (PARTITION BY source) AS n FROM s),
+o AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(2 * rank - 1 AS DOUBLE) / CAST(2 * n AS DOUBLE), source IS NULL, source, rank) - 1 AS idx,
+    count(*) OVER () AS total FROM r)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(idx * 16 // total AS INT) AS shard,
+  idx - (idx * 16 // total * total + 15) // 16 AS slot, CAST(NULL AS INT) AS grown_shard
+FROM o"""
+
+OP13_SQL = rf"""
+WITH RECURSIVE orders AS (
+  SELECT '' AS o
+  UNION ALL
+  SELECT o || l FROM orders, unnest(['A', 'B', 'C', 'D', 'E']) AS u(l) WHERE length(o) < 5 AND NOT contains(o, l)),
+steps AS (
+  SELECT o AS filter_order, CAST(k AS INT) AS step, substr(o, k, 1) AS own, substr(o, 1, k - 1) AS prior
+  FROM orders, unnest(range(1, 6)) AS u(k) WHERE length(o) = 5),
+w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS ws, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents),
+l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN first_id < w.doc_id THEN 'E' ELSE '' END AS failed
+  FROM w LEFT JOIN l USING (doc_id)),
+m AS (
+  SELECT part, failed, count(*) AS n, sum(good) AS n_good, sum(toxic) AS n_toxic FROM f GROUP BY part, failed),
+x AS (
+  SELECT *, contains(failed, own) AS fails, length(translate(failed, prior, '')) < length(failed) AS earlier FROM m, steps)
+SELECT part, filter_order, step,
+  CAST(coalesce(sum(n) FILTER (NOT fails AND NOT earlier), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (fails AND NOT earlier), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (fails AND earlier), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (failed = own), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(n_good) FILTER (fails AND NOT earlier), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(n_toxic) FILTER (fails AND NOT earlier), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(n * (120 // greatest(length(failed), 1))) FILTER (fails), 0) AS BIGINT) AS shapley
+FROM x GROUP BY part, filter_order, step"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators that SQL can express."""
     return {
         "op1_quality_rules": OP1_SQL, "op2_near_dedup": OP2_SQL, "op6_exact_dedup": OP6_SQL,
-        "op8_warc": OP8_SQL, "op10_mixing": OP10_SQL,
+        "op8_warc": OP8_SQL, "op10_mixing": OP10_SQL, "op12_sharding": OP12_SQL, "op13_filter_audit": OP13_SQL,
     }
