@@ -556,7 +556,7 @@ def _one_split(spark, sf, labels):
     """A single tree with one split on the business day: each cluster's train mean of either kind of day."""
     data = _model(spark, sf, keep_period=True)
     train, test = cleaning.split_by_date(data, date(2024, 1, 26))
-    single = ForecastParams(max_iter=1, max_depth=1, subsampling_rate=1.0, feature_subset="all")
+    single = ForecastParams(max_iter=1, max_depth=1, subsampling_rate=1.0, feature_subset="all", engine="spark")
     return rounded(forecast.forecast_all(train, test, labels, single, ["business_day"]), ["pred"])
 
 
