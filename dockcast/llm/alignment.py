@@ -23,6 +23,7 @@ import hashlib
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from dockcast.llm.common import slices, texts_of
 from dockcast.session import materialise
 
-MAX_KEPT = 100_000  # windows
+MAX_KEPT = 100_000  # windows, and those of one run of rows
 LONG = 64  # tokens of a window that isn't kept
 MAX_PAIRS = 2_000_000  # pairs broadcast, 13 bytes each
 PAIRS_AT_A_TIME = 4_000_000
@@ -80,8 +81,11 @@ def _byte_code() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+Key = tuple[tuple[int, ...], tuple[int, ...]]
+
+
 class Window(NamedTuple):
-    """The groups as text, their number, and the linked id pairs, one for each link."""
+    """The groups as text, each with its end sign, their number, and the linked id pairs, one for each link."""
 
     groups: str
     n_groups: int
@@ -99,45 +103,55 @@ class Row(NamedTuple):
 NOTHING = Row(0, 0, 0, "", np.zeros(0, np.int64))
 
 
-class Aligner(dict):
-    """Windows kept by their id tuples."""
+class Aligner:
+    """Cuts texts into windows and keeps what was found for their id tuples."""
 
     def __init__(self, a: Tokenizer, b: Tokenizer):
-        super().__init__()
         self.a, self.b = a, b
+        self.kept: dict[Key, Window] = {}
         self._length = [np.array([len(t) for t in x.spelled], np.int64) for x in (a, b)]
         self._spaced = [np.array([t[:1] == b" " for t in x.spelled]) for x in (a, b)]
+        # An id is written with the sign behind it: inside a group, at the end of its first half, at its end.
+        self._written = [f"{n}{sign}" for x, signs in ((a, ",|"), (b, ",;")) for sign in signs for n in range(len(x.spelled))]
 
-    def __missing__(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> Window:
-        found = self._window(*(np.array(k, np.int64) for k in key))
-        if len(key[0]) + len(key[1]) <= LONG:
-            if len(self) >= MAX_KEPT:
-                self.clear()
-            self[key] = found
-        return found
+    def align(self, keys: list[Key]) -> list[Window]:
+        """The windows of all keys, in one pass over their ids one after the other.
 
-    def _window(self, a: np.ndarray, b: np.ndarray) -> Window:
+        Tokens of both end where a window ends, so windows don't touch each other's groups and links.
+        """
+        sizes = np.array([(len(x), len(y)) for x, y in keys], np.int64)
+        a, b = (np.fromiter(chain.from_iterable(k[side] for k in keys), np.int64, sizes[:, side].sum()) for side in (0, 1))
         end_a, end_b = self._length[0][a].cumsum(), self._length[1][b].cumsum()
-        shared = np.intersect1d(end_a, end_b, assume_unique=True)
-        cut_a, cut_b = (np.searchsorted(e, shared) + 1 for e in (end_a, end_b))
-        ids_a, ids_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        out, i, k = [], 0, 0
-        for j, m in zip(cut_a.tolist(), cut_b.tolist(), strict=True):
-            out.append(",".join(ids_a[i:j]) + "|" + ",".join(ids_b[k:m]))
-            i, k = j, m
+        last = np.searchsorted(end_b, end_a)
+        closes_a = end_b[last] == end_a
+        closes_b = end_a[np.searchsorted(end_a, end_b)] == end_b
+        group_a, group_b = (np.cumsum(c) - c for c in (closes_a, closes_b))
         # A token overlaps those from the one that holds its first byte to the one that holds its last.
         first = np.searchsorted(end_b, end_a - self._length[0][a], "right")
-        many = np.searchsorted(end_b, end_a) - first + 1
-        at = np.repeat(first - (many.cumsum() - many), many) + np.arange(many.sum())
-        return Window(";".join(out), len(out), np.repeat(a, many) * len(self.b.spelled) + b[at])
+        many = last - first + 1
+        ends = many.cumsum()
+        at = np.repeat(first - (ends - many), many) + np.arange(ends[-1])
+        links = np.repeat(a, many) * len(self.b.spelled) + b[at]
+        written = np.concatenate([a + len(self.a.spelled) * closes_a, b + 2 * len(self.a.spelled) + len(self.b.spelled) * closes_b])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        signs = list(map(self._written.__getitem__, written[order].tolist()))
+        cut_a, cut_b = sizes.cumsum(axis=0).T
+        cut_links = [0, *ends[cut_a - 1].tolist()]
+        cut_signs = [0, *(cut_a + cut_b).tolist()]
+        n_groups = np.diff(np.concatenate([[0], closes_a.cumsum()[cut_a - 1]])).tolist()
+        return [
+            Window("".join(signs[i:j]), n, links[k:m].copy())
+            for i, j, n, k, m in zip(cut_signs[:-1], cut_signs[1:], n_groups, cut_links[:-1], cut_links[1:], strict=True)
+        ]
 
     def _same(self, ids: list[int], spelled: list[bytes], text: bytes) -> bool:
         return b"".join([spelled[n] for n in ids]) == text
 
-    def align(self, text: str, ids_a: list[int], ids_b: list[int]) -> Row:
+    def windows(self, text: str, ids_a: list[int], ids_b: list[int]) -> list[Key]:
+        """The text's windows; none if the tokens don't spell it."""
         raw = b" " + text.encode()
         if not text or not self._same(ids_a, self.a.spelled, raw) or not self._same(ids_b, self.b.spelled, raw):
-            return NOTHING
+            return []
         a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         end_a, end_b = self._length[0][a].cumsum(), self._length[1][b].cumsum()
         at_b = np.searchsorted(end_b, end_a[:-1])
@@ -146,19 +160,27 @@ class Aligner(dict):
         spaced = self._spaced[1][b[np.minimum(after, len(b) - 1)]]
         cut_a = [0, *(anchors[spaced] + 1).tolist(), len(a)]
         cut_b = [0, *after[spaced].tolist(), len(b)]
-        windows = [
-            self[tuple(ids_a[i:j]), tuple(ids_b[k:m])]
-            for i, j, k, m in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True)
+        return [
+            (tuple(ids_a[i:j]), tuple(ids_b[k:m])) for i, j, k, m in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True)
         ]
-        return Row(
-            len(a), len(b), sum([w.n_groups for w in windows]), ";".join([w.groups for w in windows]), np.concatenate([w.links for w in windows])
-        )
 
-    def rows(self, texts: list[str]) -> Iterator[Row]:
+    def rows(self, texts: list[str]) -> list[Row]:
         some = [t for t in texts if t]
-        found = map(self.align, some, self.a.encode(some), self.b.encode(some)) if some else iter(())
-        for t in texts:
-            yield next(found) if t else NOTHING
+        cut = iter(list(map(self.windows, some, self.a.encode(some), self.b.encode(some))) if some else [])
+        cut = [next(cut) if t else [] for t in texts]
+        if len(self.kept) >= MAX_KEPT:
+            self.kept.clear()
+        new = list({k for keys in cut for k in keys if k not in self.kept})
+        found = dict(zip(new, self.align(new), strict=True)) if new else {}
+        self.kept.update((k, w) for k, w in found.items() if len(k[0]) + len(k[1]) <= LONG)
+        out = []
+        for keys in cut:
+            own = [self.kept.get(k) or found[k] for k in keys]
+            out.append(Row(
+                sum([len(k[0]) for k in keys]), sum([len(k[1]) for k in keys]), sum([w.n_groups for w in own]),
+                "".join([w.groups for w in own])[:-1], np.concatenate([w.links for w in own]),
+            ) if keys else NOTHING)
+        return out
 
 
 @lru_cache(maxsize=2)

@@ -77,12 +77,17 @@ def test_digests_are_of_the_groups(docs, wanted):
 
 def test_windows_are_looked_up_and_forgotten(monkeypatch, wanted):
     own = alignment.Aligner(alignment.byte_level(A), alignment.pieces(B))
-    first = [r[:4] for r in own.rows(TEXTS)]
-    held = len(own)
-    assert held > 20 and ((262,), (278,)) not in [k for k in own if len(k[0]) + len(k[1]) > alignment.LONG]
-    assert [r[:4] for r in own.rows(TEXTS)] == first and len(own) == held
+    asked = []
+    align = own.align
+    monkeypatch.setattr(own, "align", lambda keys: asked.append(len(keys)) or align(keys))
+    plain = lambda rows: [r[:4] for r in rows]
+    first = plain(own.rows(TEXTS))
+    assert first == [(n, m, g, t) for n, m, g, _, t, _, _ in wanted]
+    assert len(own.kept) > 20 and all(len(k[0]) + len(k[1]) <= alignment.LONG for k in own.kept)
+    assert plain(own.rows(TEXTS[:2])) == first[:2] and len(asked) == 1  # nothing new
+    assert plain(own.rows(TEXTS)) == first and asked[1] < 4  # only the long ones
     monkeypatch.setattr(alignment, "MAX_KEPT", 3)
-    assert [r[:4] for r in own.rows(TEXTS)] == first and len(own) <= 3
+    assert plain(own.rows(TEXTS[:1])) == first[:1] and len(own.kept) < 12
 
 
 def test_empty_table(docs):
