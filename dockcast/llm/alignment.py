@@ -23,7 +23,6 @@ import hashlib
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -81,7 +80,7 @@ def _byte_code() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-Key = tuple[tuple[int, ...], tuple[int, ...]]
+Key = tuple[bytes, bytes]  # two tuples of ids, packed as 32-bit integers
 
 
 class Window(NamedTuple):
@@ -119,8 +118,8 @@ class Aligner:
 
         Tokens of both end where a window ends, so windows don't touch each other's groups and links.
         """
-        sizes = np.array([(len(x), len(y)) for x, y in keys], np.int64)
-        a, b = (np.fromiter(chain.from_iterable(k[side] for k in keys), np.int64, sizes[:, side].sum()) for side in (0, 1))
+        sizes = np.array([(len(x), len(y)) for x, y in keys], np.int64) // 4
+        a, b = (np.frombuffer(b"".join([k[side] for k in keys]), "<u4").astype(np.int64) for side in (0, 1))
         end_a, end_b = self._length[0][a].cumsum(), self._length[1][b].cumsum()
         last = np.searchsorted(end_b, end_a)
         closes_a = end_b[last] == end_a
@@ -152,34 +151,41 @@ class Aligner:
         raw = b" " + text.encode()
         if not text or not self._same(ids_a, self.a.spelled, raw) or not self._same(ids_b, self.b.spelled, raw):
             return []
-        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        a, b = np.array(ids_a, "<u4"), np.array(ids_b, "<u4")
         end_a, end_b = self._length[0][a].cumsum(), self._length[1][b].cumsum()
         at_b = np.searchsorted(end_b, end_a[:-1])
         anchors = np.flatnonzero((end_b[at_b] == end_a[:-1]) & self._spaced[0][a[1:]])
         after = at_b[anchors] + 1
         spaced = self._spaced[1][b[np.minimum(after, len(b) - 1)]]
-        cut_a = [0, *(anchors[spaced] + 1).tolist(), len(a)]
-        cut_b = [0, *after[spaced].tolist(), len(b)]
+        cut_a = [0, *(4 * (anchors[spaced] + 1)).tolist(), 4 * len(a)]
+        cut_b = [0, *(4 * after[spaced]).tolist(), 4 * len(b)]
+        packed_a, packed_b = a.tobytes(), b.tobytes()
         return [
-            (tuple(ids_a[i:j]), tuple(ids_b[k:m])) for i, j, k, m in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True)
+            (packed_a[i:j], packed_b[k:m]) for i, j, k, m in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True)
         ]
 
     def rows(self, texts: list[str]) -> list[Row]:
         some = [t for t in texts if t]
-        cut = iter(list(map(self.windows, some, self.a.encode(some), self.b.encode(some))) if some else [])
-        cut = [next(cut) if t else [] for t in texts]
+        ids = iter(list(zip(some, self.a.encode(some), self.b.encode(some), strict=True)) if some else [])
         if len(self.kept) >= MAX_KEPT:
             self.kept.clear()
-        new = list({k for keys in cut for k in keys if k not in self.kept})
-        found = dict(zip(new, self.align(new), strict=True)) if new else {}
-        self.kept.update((k, w) for k, w in found.items() if len(k[0]) + len(k[1]) <= LONG)
+        number: dict[Key, int] = {}
+        cut = [[number.setdefault(k, len(number)) for k in (self.windows(*next(ids)) if t else [])] for t in texts]
+        distinct = list(number)
+        found = [self.kept.get(k) for k in distinct]
+        new = [n for n, w in enumerate(found) if w is None]
+        for n, w in zip(new, self.align([distinct[n] for n in new]) if new else [], strict=True):
+            found[n] = w
+            if len(distinct[n][0]) + len(distinct[n][1]) <= 4 * LONG:
+                self.kept[distinct[n]] = w
+        size = [(len(a) // 4, len(b) // 4) for a, b in distinct]
         out = []
-        for keys in cut:
-            own = [self.kept.get(k) or found[k] for k in keys]
+        for own in cut:
+            ws = [found[n] for n in own]
             out.append(Row(
-                sum([len(k[0]) for k in keys]), sum([len(k[1]) for k in keys]), sum([w.n_groups for w in own]),
-                "".join([w.groups for w in own])[:-1], np.concatenate([w.links for w in own]),
-            ) if keys else NOTHING)
+                sum([size[n][0] for n in own]), sum([size[n][1] for n in own]), sum([w.n_groups for w in ws]),
+                "".join([w.groups for w in ws])[:-1], np.concatenate([w.links for w in ws]),
+            ) if own else NOTHING)
         return out
 
 

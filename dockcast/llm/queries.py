@@ -246,7 +246,8 @@ s AS (
   FROM d JOIN c USING (rid)),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY place) AS rank, count(*) OVER (PARTITION BY source) AS n FROM s),
 o AS (
-  SELECT *, row_number() OVER (ORDER BY CAST(2 * rank - 1 AS DOUBLE) / CAST(2 * n AS DOUBLE), source IS NULL, source, rank) - 1 AS idx,
+  SELECT *, row_number() OVER (ORDER BY (rank - CAST('0x' || substr(md5('0:' || coalesce('0' || source, '1')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE)
+      / CAST(n AS DOUBLE), source IS NULL, source, rank) - 1 AS idx,
     count(*) OVER () AS total FROM r)
 SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(idx * 16 // total AS INT) AS shard,
   idx - (idx * 16 // total * total + 15) // 16 AS slot, CAST(NULL AS INT) AS grown_shard

@@ -1,9 +1,11 @@
 """Shards by proportional stratified interleaving.
 
 Each source's rows are shuffled by a seeded hash and ranked. A row's fractional rank is
-``(rank - 1/2) / rows of the source``; ordered by it, every stretch of the table holds each source
-in proportion. That order is cut into shards whose row counts differ by one at most, so every
-shard matches the mixture up to one row a source at either end.
+``(rank - u) / rows of the source``, where ``u`` is a seeded number of the source between 0 and 1, so that
+the rows of many small sources don't meet in one place; ordered by it, every stretch of the table holds each
+source in proportion. That order is cut into shards whose row counts differ by one at most.
+A shard's number of rows of a source differs from that of the whole mixture by few rows: one, and its
+share of as many rows as there are sources.
 
 How the work is spread: a rank is the number of rows in the earlier hash slots of the source (16 **
 3 or more slots, whose sums are few) plus a running count inside a slot. The place in the whole
@@ -89,12 +91,12 @@ def shards(
     digits = 3 + max(0, math.ceil(math.log(max(1, total) / SLOT_ROWS, 16)))
     bins = max(bins, math.isqrt(total))
     spread = _apart(_ranked(rows, digits), copies)
-    bin_of = F.expr(f"((2 * rank - 1) * {bins}L) div (2 * of_source)")
-    placed = materialise(spread.withColumn("bin", bin_of), "shard-ranks")
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("queue"))), 1, 8), 16, 10).cast("double") / 2.0**32
+    spread = spread.withColumn("fraction", (F.col("rank") - offset) / F.col("of_source").cast("double"))
+    placed = materialise(spread.withColumn("bin", F.floor(F.col("fraction") * bins)), "shard-ranks")
     per_bin = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("in_bin"))
     ahead = per_bin.select("bin", (F.sum("in_bin").over(W.orderBy("bin")) - F.col("in_bin")).alias("ahead"))
-    fraction = (2 * F.col("rank") - 1).cast("double") / (2 * F.col("of_source")).cast("double")
-    turn = F.row_number().over(W.partitionBy("bin").orderBy(fraction, "queue", "rank"))
+    turn = F.row_number().over(W.partitionBy("bin").orderBy("fraction", "queue", "rank"))
     ordered = placed.join(ahead, "bin").withColumn("at", F.col("ahead") + turn - 1)
     shard = F.expr(f"(at * {n_shards}L) div {max(1, total)}L")
     cut = ordered.withColumn("shard", shard).withColumn("slot", F.expr(f"at - (shard * {total}L + {n_shards - 1}L) div {n_shards}L"))

@@ -83,7 +83,7 @@ def test_windows_are_looked_up_and_forgotten(monkeypatch, wanted):
     plain = lambda rows: [r[:4] for r in rows]
     first = plain(own.rows(TEXTS))
     assert first == [(n, m, g, t) for n, m, g, _, t, _, _ in wanted]
-    assert len(own.kept) > 20 and all(len(k[0]) + len(k[1]) <= alignment.LONG for k in own.kept)
+    assert len(own.kept) > 20 and all(len(k[0]) + len(k[1]) <= 4 * alignment.LONG for k in own.kept)
     assert plain(own.rows(TEXTS[:2])) == first[:2] and len(asked) == 1  # nothing new
     assert plain(own.rows(TEXTS)) == first and asked[1] < 4  # only the long ones
     monkeypatch.setattr(alignment, "MAX_KEPT", 3)

@@ -17,8 +17,9 @@ def defined(rows, n_shards, seed=0):
         queues.setdefault((r[2] is None, r[2] or ""), []).append(r)
     order = []
     for queue, own in queues.items():
+        offset = int(hashlib.md5(f"{seed}:{int(queue[0])}{queue[1]}".encode()).hexdigest()[:8], 16) / 2**32
         for k, r in enumerate(sorted(own, key=place)):
-            order.append(((2 * k + 1) / (2 * len(own)), queue, k, r))
+            order.append(((k + 1 - offset) / len(own), queue, k, r))
     order.sort(key=lambda x: x[:3])
     out, total = [], len(order)
     for at, (_, _, _, r) in enumerate(order):
@@ -49,7 +50,14 @@ def test_every_shard_matches_the_mixture(spark):
     mix = Counter(r[2] for r in rows)
     for shard in range(16):
         own = Counter(r.source for r in got if r.shard == shard)
-        assert all(abs(own[s] - n / 16) <= 1 for s, n in mix.items())
+        assert all(abs(own[s] - n / 16) <= 1 + len(mix) * n / len(rows) for s, n in mix.items())
+
+
+def test_rows_of_many_small_sources_are_spread(spark):
+    rows = [(i, f"t{i}", f"host{i // 2}") for i in range(1600)]
+    got = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    early = Counter(r.shard for r in got if r.source < "host5")
+    assert len(early) == 16 and min(early.values()) > sum(early.values()) / 32
 
 
 def test_seed_files_and_kept_columns(spark, tmp_path):
