@@ -95,7 +95,7 @@ def densify(
     return cells.join(axis.drop("_size").hint(join_hint), "_pos").select(*entity, *time, value, *extra)
 
 
-def backfill(axis: DataFrame, order: list[str], columns: list[str], wrap: bool = False) -> DataFrame:
+def backfill(axis: DataFrame, order: list[str], columns: list[str], wrap: bool = False, by: list[str] | None = None) -> DataFrame:
     """Fill nulls with the next known value along the ordered time axis.
 
     One row per calendar bucket comes in, so the unpartitioned window is bounded by the
@@ -103,17 +103,18 @@ def backfill(axis: DataFrame, order: list[str], columns: list[str], wrap: bool =
 
     With ``wrap`` each column ``c`` gets a companion ``_head_c``: the first known value of
     the whole axis, which is what follows the last bucket when the filled table lists one
-    station after the other.
+    station after the other. ``by`` tells several axes in one table apart.
     """
     backwards = ", ".join(f"{c} DESC" for c in order)
-    frame = f"(ORDER BY {backwards} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    parts = f"PARTITION BY {', '.join(by)}" if by else ""
+    frame = f"({parts} ORDER BY {backwards} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     kept = [c for c in axis.columns if c not in columns]
     filled = axis.selectExpr(*kept, *[f"last({c}, true) OVER {frame} AS {c}" for c in columns])
     if not wrap:
         return filled
     # After the fill the first row holds the first known value of every column.
     first = f"struct({', '.join(order)})"
-    return filled.selectExpr("*", *[f"min_by({c}, {first}) OVER () AS _head_{c}" for c in columns])
+    return filled.selectExpr("*", *[f"min_by({c}, {first}) OVER ({parts}) AS _head_{c}" for c in columns])
 
 
 def close_trailing_gap(grid: DataFrame, columns: list[str], station: str = "s_sta_id") -> DataFrame:

@@ -21,4 +21,5 @@ def run(spark: SparkSession, config: EngineConfig, fmt: str = "csv") -> Rolling:
         test_days=config.test_days,
         n_clusters=config.n_clusters,
         params=config.model,
+        ledger=config.ledger_path,
     )

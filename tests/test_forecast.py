@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from dockcast.catalog import queries
 from dockcast.config import EngineConfig, ForecastParams
 from dockcast.operators.cleaning import split_by_date
-from dockcast.plans import episodes, forecast, run
+from dockcast.plans import demand, episodes, forecast, run, windows
 from dockcast.schemas import HOUR_PERIODS
 from dockcast.sources.files import Prepared, save_prepared
 from tests.test_grid import DAY, _random_trips, _station, _trips, _weather_period
 
-SF = "/root/testdata/sf0.01"
+SF, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 FAST = ForecastParams(max_iter=2, max_depth=2, step_size=0.5)
 
 
@@ -61,6 +61,40 @@ def test_rolling_run_from_prepared_tables(spark, tables, tmp_path):
     assert result.predictions.select("forecast_date").distinct().count() == 2
 
 
+@pytest.mark.parametrize("closed", ["both", "left"])
+def test_shared_windows_equal_windows_of_their_own(spark, tables, closed):
+    """Model rows and visits of several dates from shared tables, and of each date from its own trips."""
+    trips, station, weather = tables
+    trips = trips.unionByName(_trips(spark, [(1, 2, d, 0) for d in (2, 3, 4)] + [(5, 2, 3, 0), (4, 1, 0, 9)]))
+    days = [DAY + timedelta(days=d) for d in (2, 3, 4)]
+    activity = demand.station_activity(trips, station)
+    own = windows.spans(days, 2, 1, closed)
+    rows = windows.model_rows(activity, station, weather, own).cache()
+    seen = windows.visits(activity, own)
+    for day in days:
+        cut = demand.activity_window(activity, day, 2, 1, closed)
+        want = demand.model_from_counts(demand.activity_counts(cut, station), weather, keep_period=True)
+        got = rows.where(F.col("forecast_date") == F.lit(day))
+        assert got.where("is_train != (date < forecast_date)").isEmpty() and want.count() > 20
+        got = got.select(want.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        mine = seen.where(F.col("forecast_date") == F.lit(day)).drop("forecast_date")
+        other = demand.activity_visits(cut)
+        assert mine.select(other.columns).exceptAll(other).isEmpty() and other.exceptAll(mine.select(other.columns)).isEmpty()
+
+
+def test_rolling_dates_equal_single_dates(spark, tables, tmp_path):
+    """Neither the other dates of a run nor a record of models change a prediction."""
+    ledger = str(tmp_path / "ledger")
+    both = forecast.rolling_forecast(*tables, DAY + timedelta(days=4), 2, trace_back_days=3, n_clusters=2, params=FAST, ledger=ledger)
+    plain = lambda df: {(r.forecast_date, r.s_sta_id, r.date, r.hour_period): (r.cluster, r.pred) for r in df.collect()}
+    one = {}
+    for d in (3, 4):
+        one |= plain(forecast.forecast_one_date(*tables, DAY + timedelta(days=d), trace_back_days=3, n_clusters=2, params=FAST).predictions)
+    assert plain(both.predictions) == one
+    assert both.cluster_scores.count() == 4 and spark.read.parquet(ledger).count() == 4
+
+
 def _dense(spark, days, stations):
     rows = [(s, DAY + timedelta(days=d), p, s * 1000 + d * 10 + i) for s in stations for d in range(days)
             for i, p in enumerate(HOUR_PERIODS)]
@@ -106,24 +140,18 @@ def test_inclusive_end_adds_the_midnight_trip(spark):
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
-def test_registered_forecasts_fit_the_production_model(spark, monkeypatch):
-    """Every label has a model of its own, and no query passes a smaller one."""
-    asked = {}
-
-    def fit(train, test, labels, params=ForecastParams(), *rest):
-        asked["labels"], asked["params"] = {r.cluster for r in labels.collect()}, params
-        return test
-
-    def roll(*args, params=ForecastParams(), **options):
-        asked["rolling"] = params
-        return forecast.Rolling(*[args[0]] * 4)
-
-    monkeypatch.setattr(queries.forecast, "forecast_all", fit)
-    monkeypatch.setattr(queries.forecast, "rolling_forecast", roll)
-    queries.cluster_forecast(spark, SF)
-    assert len(asked["labels"]) == 25 and asked["params"] == ForecastParams()
-    queries.rolling_forecast(spark, SF)
-    assert asked["rolling"] == ForecastParams()
+def test_registered_forecasts_run_the_production_model(spark, monkeypatch):
+    """Every label has a model of its own, no query passes a smaller one, and both come to their end."""
+    asked = []
+    fit = forecast.fit_predict
+    monkeypatch.setattr(forecast, "fit_predict", lambda *a, **k: asked.append(a[5]) or fit(*a, **k))
+    rows = queries.cluster_forecast(spark, SMALL).collect()
+    assert {r.cluster for r in rows} == {r.cluster for r in queries.roles.labels(spark, SMALL).collect()} & {r.cluster for r in rows}
+    assert rows and all(r.status == "ok" and r.pred is not None for r in rows)
+    scores = queries.rolling_forecast(spark, SF).collect()
+    assert {r.forecast_date for r in scores} == {date(2024, 1, 25) + timedelta(days=d) for d in range(5)}
+    assert all(r.r2 is not None and r.unscored == 0 for r in scores)
+    assert asked == [ForecastParams()] * 2 and ForecastParams().max_iter == 500
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
