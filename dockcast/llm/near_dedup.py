@@ -7,15 +7,20 @@
    four registers in 32 bands a pair at similarity 0.75 shares no bucket with probability
    (1 - 0.75 ** 4) ** 32 = 5e-6, pairs above it less.
 3. Each node is first held against one node only, the smallest leader of its buckets. What is
-   confirmed is merged into components. After that, buckets whose nodes lie in different
-   components are compared in blocks: in ``BEST_ROUNDS`` rounds for each node's best partner in
-   another component, one pair for a node, then for all partners that are left; pairs inside a
-   component are never made. Blocks are cut by size class (a
-   link's sizes differ by a quarter at most) and, where large, by hash.
-4. Every candidate is estimated from the sketches, corrected for registers that are equal by
-   chance, and dropped only if the estimate is five standard errors below the threshold. The
-   others are confirmed on the full shingle sets of the texts.
-5. Components come from alternating star steps on the links, written to the shared folder.
+   confirmed is merged into components.
+4. Buckets whose nodes lie in different components are then compared in blocks, twice. First by
+   sketches: a node with a possible partner in another component is named, once a block. Then the
+   named nodes come with their full shingle sets: partners are tried in order of their estimate,
+   confirmed on the sets, and only links between nodes not yet connected are emitted. So a
+   block gives a spanning forest of its confirmed links, fewer rows than it has nodes, however many
+   pairs resemble each other. Blocks are cut by hash, by number of nodes and by bytes of their sets.
+5. Every candidate is estimated from the sketches, corrected for registers that are equal by
+   chance, and dropped only if the estimate is five standard errors below the threshold.
+6. Components come from alternating star steps on the links, written to the shared folder.
+
+Rows of one bucket go to the same task only in blocks: the few buckets with more than ``HOT`` nodes are
+met by a broadcast while there are at most ``HOT_BUCKETS`` of them, and beyond that by a join whose
+skew is split at run time.
 
 A text of fewer words than a shingle is one shingle; a text without words and a null text are
 empty and linked with nothing. Repeated rows and equal texts share a node. A component's id is
@@ -45,7 +50,9 @@ BANDS, ROWS = 32, 4
 BUCKETS = BANDS * ROWS
 MANTISSA = 10
 BLOCK = 512
-BEST_ROUNDS = 4
+BLOCK_BYTES = 32 << 20  # of shingle sets
+HOT = 1024
+HOT_BUCKETS = 100_000
 CACHED = 256  # shingles hashed at a time, so that the hashes stay in a core's cache
 _U = np.uint64
 
@@ -198,7 +205,7 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = bands(_registers(part.column("sketch"))).view(np.int64).ravel()
         repeat = np.repeat(np.arange(part.num_rows), BANDS)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(buckets), part.column("node").take(pa.array(repeat))], names=["bucket", "node"]
+            [pa.array(buckets), *[part.column(c).take(pa.array(repeat)) for c in ("node", "size")]], names=["bucket", "node", "size"]
         )
 
 
@@ -255,70 +262,86 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def _groups(members: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, dealt out as pairs of blocks.
+def _met(rows: DataFrame, buckets: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """``rows`` joined with what is known of their buckets; ``hot`` are the buckets of many rows.
 
-    Rows of one ``(bucket, one, two)`` are compared with each other; ``one`` and ``two`` are
-    the blocks, and a row's own is ``block``.
+    Rows of hot buckets stay where they are. Without ``hot`` (there are too many) the join is left to
+    adaptive execution, which splits hot keys.
     """
-    labelled = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
-    rows = labelled.join(mixed, "bucket", "left_semi").join(nodes.select("node", "size", "sketch"), "node")
-    kind = F.floor(F.log("size") / F.log(F.lit(100 / PERCENT))).cast("int")
-    rows = materialise(rows.withColumn("kind", kind), "near-mixed")
-    parts = rows.groupBy("bucket", "kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    near = parts.select("bucket", F.explode(F.array(F.col("kind") - 1, F.col("kind"), F.col("kind") + 1)).alias("kind"),
-                        F.struct("kind", "parts").alias("by"))
-    around = near.groupBy("bucket", "kind").agg(F.collect_list("by").alias("around"))  # three at most
-    dealt = rows.join(parts, ["bucket", "kind"]).join(around, ["bucket", "kind"])
-    block = F.struct(F.col("kind"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    dealt = dealt.withColumn("block", block).withColumn(
-        "other", F.explode(F.expr("flatten(transform(around, o -> transform(sequence(0, o.parts - 1), p -> "
-                                  "named_struct('kind', o.kind, 'part', p))))"))
-    )
-    return dealt.select(
-        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-        (F.col("block") == F.least("block", "other")).alias("first"), "node", "comp", "size", "sketch",
-    )
-
-
-def _compared(best_only: bool):
-    """Streams sorted groups and emits the pairs that may be links of different components."""
-
-    def pairs(g: _Rows, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-        comp, size, first = g.comp[start:end], g.size[start:end], g.first[start:end]
-        if end - start < 2 or (comp == comp[0]).all():
-            return None
-        left, right = np.flatnonzero(first), np.flatnonzero(~first)
-        same = g.same[start]
-        if same:
-            right = left
-        i, j = np.nonzero(comp[left][:, None] != comp[right][None, :])
-        i, j = left[i], right[j]
-        ok = (i < j) if same else np.ones(len(i), bool)
-        ok &= 100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j])
-        i, j = i[ok], j[ok]
-        if not len(i):
-            return None
-        registers = _registers(g.sketch[start:end])
+    if hot is None:
+        return rows.join(buckets, "bucket")
+    names = F.broadcast(hot.select("bucket"))
+    few = rows.join(F.broadcast(buckets.join(names, "bucket", "left_semi")), "bucket")
+    return rows.join(names, "bucket", "left_anti").join(buckets.join(names, "bucket", "left_anti"), "bucket").unionByName(few)
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Members of buckets dealt out as pairs of blocks: rows of one ``(bucket, one, two)`` are compared."""
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(8 * F.col("sizes") / BLOCK_BYTES))
+    block = F.pmod(F.xxhash64("node"), parts).cast("int")
+    cut = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
+    one, two = F.least("block", "other"), F.greatest("block", "other")
+    return cut.select("bucket", one.alias("one"), two.alias("two"), (F.col("block") == one).alias("first"), "node", "comp", "size")
+
+
+def _cross(g: _Rows, start: int, end: int, registers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of different components that may be links, with their estimates."""
+    comp, size, first = g.comp[start:end], g.size[start:end], g.first[start:end]
+    left = np.flatnonzero(first)
+    right = left if g.same[start] else np.flatnonzero(~first)
+    i, j = np.nonzero(comp[left][:, None] != comp[right][None, :])
+    i, j = left[i], right[j]
+    ok = (i < j) if g.same[start] else np.ones(len(i), bool)
+    ok &= 100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j])
+    i, j = i[ok], j[ok]
+    found = [(i[:0], j[:0], np.zeros(0))]
+    for at in range(0, len(i), 50_000):
+        a, b = i[at : at + 50_000], j[at : at + 50_000]
+        guess = estimate((registers[a] == registers[b]).mean(axis=1), size[a], size[b])
+        near = guess >= _least()
+        found.append((a[near], b[near], guess[near]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _named(g: _Rows, start: int, end: int, payload: list[bytes]) -> np.ndarray:
+    """Rows with a possible partner not met in an earlier band."""
+    registers = np.frombuffer(b"".join(payload), np.uint16).reshape(-1, BUCKETS)
+    a, b, _ = _cross(g, start, end, registers)
+    if len(a):
         bucket = bands(registers)
         here = int(np.flatnonzero(bucket[0] == g.bucket[start])[0])
-        found = []
-        for at in range(0, len(i), 50_000):
-            a, b = i[at : at + 50_000], j[at : at + 50_000]
-            if here:
-                fresh = ~(bucket[a, :here] == bucket[b, :here]).any(axis=1)  # not met in an earlier band
-                a, b = a[fresh], b[fresh]
-            guess = estimate((registers[a] == registers[b]).mean(axis=1), size[a], size[b])
-            near = guess >= _least()
-            found.append((a[near], b[near], guess[near]))
-        a, b, guess = (np.concatenate(x) for x in zip(*found, strict=True))
-        if best_only and len(a) > 1:  # each row's best partner
-            order = np.argsort(-guess, kind="stable")
-            both = np.concatenate([a[order], b[order]]).reshape(2, -1).T.ravel()
-            top = np.unique(np.unique(both, return_index=True)[1] // 2)
-            a, b, guess = a[order][top], b[order][top], guess[order][top]
-        return (a + start, b + start, guess) if len(a) else None
+        if here:
+            fresh = np.concatenate([~(bucket[a[k : k + 50_000], :here] == bucket[b[k : k + 50_000], :here]).any(axis=1) for k in range(0, len(a), 50_000)])
+            a, b = a[fresh], b[fresh]
+    return np.unique(np.concatenate([a, b])) + start
+
+
+def _forest(g: _Rows, start: int, end: int, payload: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Confirmed links that connect the rows' components as far as any of their links do."""
+    sets = [np.frombuffer(p, np.uint64) for p in payload]
+    a, b, guess = _cross(g, start, end, np.stack([sketch(s) for s in sets]))
+    order = np.argsort(-guess, kind="stable")
+    top = {c: c for c in g.comp[start:end].tolist()}
+
+    def find(c: int) -> int:
+        while top[c] != c:
+            top[c] = c = top[top[c]]
+        return c
+
+    comp, out = g.comp[start:end].tolist(), []
+    for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
+        x, y = find(comp[i]), find(comp[j])
+        if x != y:
+            short, long = sorted((sets[i], sets[j]), key=len)
+            both = int((long[np.minimum(np.searchsorted(long, short), len(long) - 1)] == short).sum())
+            if 100 * both >= PERCENT * (len(short) + len(long) - both):
+                top[x] = y
+                out.append((i + start, j + start))
+    return tuple(np.array(out, np.int64).reshape(-1, 2).T)
+
+
+def _compared(payload: str, judge, names: list[str]):
+    """Streams sorted groups; ``judge`` gives the rows (of each named column) to emit for a group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -333,11 +356,17 @@ def _compared(best_only: bool):
 
     def compare(table: pa.Table, starts: list[int]) -> Iterator[pa.RecordBatch]:
         g = _Rows.of(table)
-        found = [x for s, e in zip(starts[:-1], starts[1:], strict=True) if (x := pairs(g, s, e)) is not None]
-        if found:
-            a, b, guess = (np.concatenate(x) for x in zip(*found, strict=True))
-            node = table["node"].combine_chunks()
-            yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b)), pa.array(guess)], names=["a", "b", "guess"])
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            if e - s < 2 or (g.comp[s:e] == g.comp[s]).all():
+                continue
+            found = judge(g, s, e, table[payload].slice(s, e - s).to_pylist())
+            found = found if isinstance(found, tuple) else (found,)
+            if len(found[0]):
+                if len(names) == 1:
+                    yield table.take(pa.array(found[0])).select(["bucket", "one", "two", "first", "node", "comp", "size"]).combine_chunks().to_batches()[0]
+                else:
+                    node = table["node"].combine_chunks()
+                    yield pa.RecordBatch.from_arrays([node.take(pa.array(f)) for f in found], names=names)
 
     return run
 
@@ -350,15 +379,13 @@ class _Rows(NamedTuple):
     size: np.ndarray
     first: np.ndarray
     same: np.ndarray
-    sketch: pa.Array
 
     @classmethod
     def of(cls, rows: pa.Table) -> _Rows:
-        one, two = (np.stack([c.to_numpy() for c in rows[k].combine_chunks().flatten()]) for k in ("one", "two"))
         return cls(
             rows["bucket"].to_numpy().view(np.uint64),
             rows["comp"].combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64),
-            rows["size"].to_numpy(), rows["first"].to_numpy(), (one == two).all(axis=0), rows["sketch"].combine_chunks(),
+            rows["size"].to_numpy(), rows["first"].to_numpy(), rows["one"].to_numpy() == rows["two"].to_numpy(),
         )
 
 
@@ -367,25 +394,32 @@ def _starts(rows: pa.Table) -> list[int]:
     change = np.zeros(rows.num_rows, bool)
     change[:1] = True
     for name in ("bucket", "one", "two"):
-        column = rows[name].combine_chunks()
-        columns = column.flatten() if pa.types.is_struct(column.type) else [column]
-        for c in columns:
-            v = c.to_numpy()
-            change[1:] |= v[1:] != v[:-1]
+        v = rows[name].to_numpy()
+        change[1:] |= v[1:] != v[:-1]
     return np.flatnonzero(change).tolist()
 
 
-def _partners(members: DataFrame, nodes: DataFrame, comps: DataFrame, best_only: bool) -> DataFrame:
-    groups = _groups(members, nodes, comps)
+GROUP = "bucket long, one int, two int, first boolean, node binary, comp binary, size long"
+
+
+def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        yield pa.RecordBatch.from_arrays(
+            [part.column("node"), pa.array([s.tobytes() for s in _sets(part.column("text"))], pa.binary())], names=["node", "shingles"]
+        )
+
+
+def _across(members: DataFrame, hot: DataFrame | None, nodes: DataFrame, texts: DataFrame, comps: DataFrame) -> DataFrame:
+    """Links between components: of each pair of blocks a spanning forest of its confirmed links."""
     keys = ["bucket", "one", "two"]
-    sorted_groups = groups.repartition(*keys).sortWithinPartitions(*keys)
-    found = sorted_groups.mapInArrow(_compared(best_only), "a binary, b binary, guess double")
-    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "guess")
-    if best_only:  # one pair for each node, whatever the number of its buckets
-        sides = F.inline(F.array(F.struct(F.col("a").alias("node")), F.struct(F.col("b").alias("node"))))
-        top = pairs.select("a", "b", "guess", sides).groupBy("node").agg(F.max(F.struct("guess", "a", "b")).alias("top"))
-        pairs = top.select("top.*")
-    return materialise(pairs.select("a", "b").distinct(), "near-pairs")
+    labelled = materialise(members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "near-labelled")
+    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
+    dealt = _dealt(_met(labelled, materialise(mixed, "near-mixed"), hot)).join(nodes.select("node", "sketch"), "node")
+    named = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compared("sketch", _named, ["node"]), GROUP)
+    named = materialise(named, "near-named")
+    wanted = texts.join(named.select("node").distinct(), "node", "left_semi").mapInArrow(_set_rows, "node binary, shingles binary")
+    whole = named.join(wanted, "node").repartition(*keys).sortWithinPartitions(*keys)
+    return materialise(whole.mapInArrow(_compared("shingles", _forest, ["a", "b"]), "a binary, b binary"), "near-links")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -404,14 +438,15 @@ def classes(docs: DataFrame) -> DataFrame:
             F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"),
         ), "near-nodes",
     )
-    banded = nodes.select("node", "sketch").mapInArrow(_banded, "bucket long, node binary")
-    leaders = materialise(
-        banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
-        "near-leaders",
+    banded = nodes.select("node", "size", "sketch").mapInArrow(_banded, "bucket long, node binary, size long")
+    buckets = materialise(
+        banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("sizes")).where("n > 1"),
+        "near-buckets",
     )
-    members = materialise(banded.join(leaders, "bucket"), "near-members")
+    hot = buckets.where(F.col("n") > HOT)
+    hot = hot if hot.limit(HOT_BUCKETS + 1).count() <= HOT_BUCKETS else None
+    members = materialise(_met(banded, buckets, hot), "near-members")
     stars = members.groupBy("node").agg(F.min("leader").alias("a")).where("a < node").select("a", F.col("node").alias("b"))
-    members = members.select("bucket", "node")
 
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "of.doc_id", "of.text_key")
     same = keyed["doc_id"].eqNullSafe(wanted["doc_id"]) & (keyed["text_key"] == wanted["text_key"])
@@ -421,14 +456,9 @@ def classes(docs: DataFrame) -> DataFrame:
     tested = materialise(likely, "near-pairs")
     links = _links(tested, texts)
     comps = components(links)
-    for turn in range(BEST_ROUNDS + 1):
-        best_only = turn < BEST_ROUNDS
-        pairs = _partners(members, nodes, comps, best_only).join(tested, ["a", "b"], "left_anti")
-        more = _links(pairs, texts)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            comps = components(links)
-        tested = tested.unionByName(pairs)
+    more = _across(members, hot, nodes, texts, comps)
+    if not more.isEmpty():
+        comps = components(links.unionByName(more))
     ids = nodes.select("node", "smallest").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = ids.groupBy("comp").agg(F.min("smallest").alias("component_id"))
     named = ids.join(least, "comp").select("node", F.col("component_id").alias("found"))
@@ -441,11 +471,8 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of each component, and all rows without words, with the columns they came with."""
-    kept = classes(docs).where("kept").select(
-        F.col("doc_id").alias("__keep"), F.col("text_key").alias("__of"), F.col("n_shingles").alias("__n")
-    ).distinct()
+    kept = classes(docs).where("kept").select(F.col("doc_id").alias("keep"), F.col("text_key").alias("of")).distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumns({"__i": F.col("doc_id").cast("long"), "__k": F.unhex(F.md5(text))})
-    joined = keyed.join(kept, F.col("__i").eqNullSafe(F.col("__keep")) & (F.col("__k") == F.col("__of")))
-    single = joined.dropDuplicates(["__i", "__k"])
-    return single.select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("i"), F.unhex(F.md5(text)).alias("k"))
+    joined = keyed.join(kept, F.col("i").eqNullSafe(F.col("keep")) & (F.col("k") == F.col("of")))
+    return joined.dropDuplicates(["i", "k"]).select("row.*")

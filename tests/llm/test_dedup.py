@@ -112,9 +112,10 @@ def corpus():
     return [*rows, rows[20], rows[21]]
 
 
-@pytest.mark.parametrize("block", [4, near.BLOCK])
-def test_classes_equal_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(near, "BLOCK", block)
+@pytest.mark.parametrize(("block", "hot", "most"), [(4, 3, 100), (4, 3, 1), (near.BLOCK, near.HOT, 100)])
+def test_classes_equal_brute_force(spark, monkeypatch, block, hot, most):
+    for name, value in (("BLOCK", block), ("HOT", hot), ("HOT_BUCKETS", most)):
+        monkeypatch.setattr(near, name, value)
     rows = corpus()
     got = near.classes(table(spark, rows)).collect()
     plain = lambda x: sorted(x, key=repr)
