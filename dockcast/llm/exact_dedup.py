@@ -219,16 +219,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     are spread over all tasks.
     """
     index = build_index(fingerprints(docs))
-    stays = index.select(
-        F.col("digest").alias("__digest"), F.col("chars").alias("__chars"), F.col("keep_id").alias("__keep")
+    stays = index.select("digest", "chars", F.col("keep_id").alias("keep"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # whatever the names of the input, they don't meet ours
+    keyed = docs.select(
+        row.alias("row"), F.unhex(F.sha2(without_blanks(F.col("text")).cast("binary"), 256)).alias("d"),
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("c"), F.col("doc_id").cast("long").alias("i"),
     )
-    keyed = docs.withColumns(
-        {
-            "__d": F.unhex(F.sha2(without_blanks(F.col("text")).cast("binary"), 256)),
-            "__c": F.length(F.coalesce("text", F.lit(""))).cast("long"),
-            "__i": F.col("doc_id").cast("long"),
-        }
-    )
-    match = (F.col("__d") == F.col("__digest")) & (F.col("__c") == F.col("__chars")) & F.col("__i").eqNullSafe(F.col("__keep"))
-    kept = keyed.join(stays, match).dropDuplicates(["__d", "__c", "__i"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    match = (F.col("d") == F.col("digest")) & (F.col("c") == F.col("chars")) & F.col("i").eqNullSafe(F.col("keep"))
+    return keyed.join(stays, match).dropDuplicates(["d", "c", "i"]).select("row.*")

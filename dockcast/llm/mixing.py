@@ -15,8 +15,8 @@ the bins' sums, cut into bins again, and only what is left there is ordered.
 Null text has size 0. A null source is a source of its own and comes last. A null id is
 shuffled like an id called 'null'. Repeated rows are queued one after the other. Documents of
 size 0 take no words. No words at all: every target and every taken number is 0. Columns of
-the input beyond the three named ones don't matter. The shuffle is a hash of the id, so
-reruns agree.
+the input beyond the three named ones don't matter. The shuffle is a hash of id and text, so reruns
+agree and rows that share an id, or have none, are spread like others.
 """
 
 from __future__ import annotations
@@ -37,13 +37,18 @@ SLOT_ROWS = 200_000_000  # rows for which 16 ** 3 slots suffice; sixteen times a
 BINS = 4096
 
 
+def _place() -> Column:
+    """A row's place in the shuffle."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit("")))))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """Per row: id, source, its number of words, and its place in the shuffle."""
     return docs.select(
         "doc_id",
         "source",
         F.size(words(F.col("text"))).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("place"),
+        _place().alias("place"),
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias("queue"),
     )
 
@@ -97,7 +102,7 @@ def _bin(finish: Column, scale: int) -> Column:
 def mix(
     docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES, bins: int = BINS
 ) -> DataFrame:
-    """Per row: ``doc_id, source, size, source_size, target, taken``.
+    """Per row: ``doc_id, source, size, source_size, target, taken`` and ``place``.
 
     ``taken`` is the number of words of this row in the mix, a multiple of its size between
     0 and ``passes`` times it.
@@ -125,7 +130,7 @@ def mix(
             items = items.where(_bin(F.col("item.finish"), s) == b)
         found = _last(items, spent)
     return queued.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "source_size", "target", "place",
         (F.col("size") * sum((_taken(f, k, cut, found) for k, f in enumerate(finish)), F.lit(0))).alias("taken"),
     )
 
@@ -162,16 +167,18 @@ def _taken(finish: Column, turn: int, cut: list, last) -> Column:
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with the columns they came with.
 
-    To the mix, rows of one id, source and size are interchangeable. What it takes of such rows
-    is dealt out evenly among them.
+    To the mix, rows of one id, source and text are interchangeable. What it takes of such rows
+    is dealt out evenly among them, in order of their other columns.
     """
-    key = lambda size: F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), size, F.concat(F.lit("s"), F.col("source")))
-    taken = mix(docs, **options).groupBy(key(F.col("size")).alias("__key")).agg(
-        F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size"))).cast("long").alias("__times"),
-        F.count(F.lit(1)).alias("__rows"),
-    ).where("__times > 0")
-    keyed = docs.withColumn("__key", key(F.size(words(F.col("text"))))).join(taken, "__key")
-    turn = F.row_number().over(W.partitionBy("__key").orderBy(F.lit(1)))
-    own = F.floor(F.col("__times") / F.col("__rows")) + F.when(turn <= F.col("__times") % F.col("__rows"), 1).otherwise(0)
-    each = keyed.withColumn("__own", own.cast("int")).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__own"))))
-    return each.select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = lambda: F.concat_ws("|", F.col("place"), F.concat(F.lit("s"), F.col("source")))
+    taken = mix(docs, **options).groupBy(key().alias("key")).agg(
+        F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size"))).cast("long").alias("times"),
+        F.count(F.lit(1)).alias("rows"),
+    ).where("times > 0")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row.alias("row"), "source", _place().alias("place")).select("row", key().alias("key")).join(taken, "key")
+    order = F.when(F.col("rows") > 1, F.to_json("row"))
+    turn = F.row_number().over(W.partitionBy("key").orderBy(order))
+    own = F.floor(F.col("times") / F.col("rows")) + F.when(turn <= F.col("times") % F.col("rows"), 1).otherwise(0)
+    each = keyed.withColumn("own", own.cast("int")).select("row", F.explode(F.array_repeat(F.lit(1), F.col("own"))))
+    return each.select("row.*")

@@ -123,8 +123,7 @@ def keeps(policy: str, bits: Column) -> Column:
 
 def apply_policy(docs: DataFrame, policy: str = PRODUCTION) -> DataFrame:
     """The rows a policy keeps, with the columns they came with."""
-    judged = with_ledger(docs, into="__ledger")
-    return judged.where(keeps(policy, F.col("__ledger.failed_bits"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.where(keeps(policy, ledger(F.col("text"))["failed_bits"]))
 
 
 def ablations(bits: DataFrame, policies: list[str] | None = None) -> DataFrame:

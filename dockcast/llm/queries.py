@@ -195,7 +195,7 @@ FROM f"""
 OP10_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, coalesce('s' || source, 'null') AS queue,
-    md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place
+    md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS place
   FROM documents),
 q AS (SELECT queue, min(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY queue),
 w AS (

@@ -2,7 +2,7 @@
 
 Fit, on a bounded sample of labelled texts: for every word and every short begin of a word the
 numbers of toxic and of other texts that hold it give a log-odds with an informative Dirichlet
-prior (the pooled frequencies times ``PRIOR``, and ``FLOOR``). Terms whose log-odds is significant
+prior (the pooled frequencies times ``PRIOR``, and ``FLOOR``). All terms whose log-odds is significant
 make the lexicon. A word's score is that of its most specific term with enough support; every
 other word costs a small drift, so that a random text's score sinks.
 
@@ -10,8 +10,11 @@ Score: one pass over a text's words keeps all disjoint maximal segments of posit
 random text the best score of m words follows an extreme-value law, P(S >= s) = 1 -
 exp(-K m exp(-lambda s)); lambda solves sum p(x) exp(lambda x) = 1 for the scores of non-toxic
 texts, and K is fitted to their best scores. The segments' normalised scores are combined by
-the law of their sum, and a logistic curve fitted on the sample turns the result into a
-probability.
+the law of their sum, and a logistic curve turns the result into a probability.
+
+The law and the curve are fitted on scores that a text got from lexicons it had no part in: the
+sample is cut into ``FOLDS`` by a hash of the text, and each fold is scored by the lexicon of the
+others. In the lexicon's own texts the evidence would be far stronger than in new ones.
 
 Null and empty texts have no words and get the curve's value for no evidence, like any text
 without a passage. Without labels of both classes every score is the share of toxic labels (0
@@ -35,7 +38,7 @@ from dockcast.llm.common import slices, texts_of
 from dockcast.llm.sample import training_texts
 
 SAMPLE_ROWS = 20_000
-TERMS = 20_000
+FOLDS = 5
 SUPPORT = 5
 SIGNIFICANT = 3.2
 LEAST_ODDS = 1.0
@@ -123,23 +126,41 @@ def evidence(found: list[Segment], n_words: int, rate: float, log_k: float) -> f
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts per term and class, of this task's texts. The sample is bounded, and so is this."""
-    toxic: Counter[str] = Counter()
-    other: Counter[str] = Counter()
+    """Texts per term, fold and class, of this task's texts. The sample is bounded, and so is this."""
+    toxic: Counter[tuple[str, int]] = Counter()
+    other: Counter[tuple[str, int]] = Counter()
     for part in slices(batches):
-        for text, label in zip(texts_of(part), part.column("label").to_pylist(), strict=True):
+        for text, label, fold in zip(texts_of(part), part.column("label").to_pylist(), part.column("fold").to_pylist(), strict=True):
             words = set(_WORD.findall(text.lower()))
-            (toxic if label else other).update({t for w in words for t in _terms(w)})
+            (toxic if label else other).update({(t, fold) for w in words for t in _terms(w)})
     terms = list(toxic.keys() | other.keys())
     for start in range(0, len(terms), 50_000):
         some = terms[start : start + 50_000]
-        yield pa.RecordBatch.from_pydict({"term": some, "y1": [toxic[t] for t in some], "y0": [other[t] for t in some]})
+        names, folds = zip(*some, strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(folds, pa.int32()), *[pa.array([n[t] for t in some], pa.int64()) for n in (toxic, other)]],
+            names=["term", "fold", "y1", "y0"],
+        )
+
+
+def _folded(sample: DataFrame) -> DataFrame:
+    """The sample with the fold of each text; equal texts are in one fold."""
+    return sample.withColumn("fold", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("int"))
+
+
+def _counts(sample: DataFrame) -> DataFrame:
+    """Per term: texts of each class, ``y1, y0``, and those of each fold."""
+    counts = sample.mapInArrow(_count_terms, "term string, fold int, y1 long, y0 long")
+    of_fold = lambda c, k: F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}_{k}")
+    folds = [of_fold(c, k) for k in range(FOLDS) for c in ("y1", "y0")]
+    return counts.groupBy("term").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"), *folds).where(F.col("y1") + F.col("y0") >= SUPPORT)
 
 
-def _lexicon(sample: DataFrame) -> dict[str, float]:
-    counts = sample.mapInArrow(_count_terms, "term string, y1 long, y0 long")
-    counts = counts.groupBy("term").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).where(F.col("y1") + F.col("y0") >= SUPPORT)
-    counts = counts.persist()
+def _lexicon(counts: DataFrame, without: int | None = None) -> dict[str, float]:
+    """Log-odds of the terms that decide, from all folds or all but one. The bounded sample bounds their number."""
+    if without is not None:
+        counts = counts.select("term", *[(F.col(c) - F.col(f"{c}_{without}")).alias(c) for c in ("y1", "y0")]).where(F.col("y1") + F.col("y0") >= SUPPORT)
+    counts = counts.select("term", "y1", "y0").persist()
     try:
         n1, n0 = counts.agg(F.sum("y1"), F.sum("y0")).first()
         if not n1 or not n0:
@@ -150,7 +171,7 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
         spread = F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
         scored = counts.select("term", odds.alias("odds"), (odds / spread).alias("z"))
         strong = (F.col("z") >= SIGNIFICANT) & (F.col("odds") >= LEAST_ODDS)
-        chosen = scored.where(strong).orderBy(F.desc("z"), "term").limit(TERMS)
+        chosen = scored.where(strong)
         lexicon = {r["term"]: r["odds"] for r in chosen.collect()}
         begins = [t for t in lexicon if t.endswith("*")]
         if begins:  # more specific terms that aren't significant stand against a begin that is
@@ -163,14 +184,23 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
         counts.unpersist()
 
 
-def _measured(sample: DataFrame, odds: dict[str, float], drift: float) -> list:
+def _drift(odds: dict[str, float]) -> float:
+    positive = [v for v in odds.values() if v > 0]
+    return -(sum(positive) / len(positive) if positive else 1.0) / REACH
+
+
+def _measured(sample: DataFrame, lexicons: list[dict[str, float]]) -> list:
+    """Scores of each sample text by the lexicon that its fold had no part in."""
+    shared = sample.sparkSession.sparkContext.broadcast(lexicons)  # terms of the bounded sample
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(odds, drift)
+        drifts = [_drift(odds) for odds in shared.value]
+        scorers = [Scorer(odds, drift) for odds, drift in zip(shared.value, drifts, strict=True)]
         for part in slices(batches):
             out = []
-            for text, label in zip(texts_of(part), part.column("label").to_pylist(), strict=True):
-                n, hits = scorer.hits(text)
-                out.append({"label": label, "n": n, "hits": [s for _, s in hits], "scores": [s.score for s in segments(hits, drift)]})
+            for text, label, fold in zip(texts_of(part), part.column("label").to_pylist(), part.column("fold").to_pylist(), strict=True):
+                n, hits = scorers[fold].hits(text)
+                out.append({"label": label, "n": n, "hits": [s for _, s in hits], "scores": [s.score for s in segments(hits, drifts[fold])]})
             yield pa.RecordBatch.from_pylist(
                 out, schema=pa.schema([("label", pa.int32()), ("n", pa.int64()), ("hits", pa.list_(pa.float64())), ("scores", pa.list_(pa.float64()))])
             )
@@ -213,13 +243,15 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    sample = training_texts(docs, labels, "toxic", rows).persist()
+    sample = _folded(training_texts(docs, labels, "toxic", rows)).persist()
+    counts = _counts(sample).persist()
     try:
-        odds = _lexicon(sample)
-        positive = [v for v in odds.values() if v > 0]
-        drift = -(sum(positive) / len(positive) if positive else 1.0) / REACH
-        measured = _measured(sample, odds, drift)
+        odds = _lexicon(counts)
+        positive = any(v > 0 for v in odds.values())
+        drift = _drift(odds)
+        measured = _measured(sample, [_lexicon(counts, k) for k in range(FOLDS)])
     finally:
+        counts.unpersist()
         sample.unpersist()
     y = np.array([float(r["label"]) for r in measured])
     if not len(y) or not positive or y.min() == y.max():

@@ -70,11 +70,10 @@ def test_sample_has_one_row_for_each_chosen_id(spark):
     assert len(found) == 3 - len(held) and got == {want[i] for i in want if i not in held}
 
 
-def test_harmless_words_are_shielded_whatever_their_spelling(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "TERMS", 2)
+def test_harmless_words_are_shielded_whatever_their_spelling(spark):
     harmless = [f"grudge{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
     rows = [(f"grudge{n}x", 1) for n in range(300)] + [(f"plain text {harmless[n % 26]}" if n < 130 else "plain text", 0) for n in range(1300)]
-    found = toxicity._lexicon(spark.createDataFrame(rows, "text string, label int"))
+    found = toxicity._lexicon(toxicity._counts(toxicity._folded(spark.createDataFrame(rows, "text string, label int"))))
     assert any(t.endswith("*") and v > 0 for t, v in found.items())
     assert all(found.get(w) == 0.0 for w in harmless)
 
