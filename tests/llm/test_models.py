@@ -86,3 +86,57 @@ def test_held_out_accuracy(spark, name, label, least):
     truth = {r.doc_id: r[label] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     tested = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
     assert len(tested) > 50 and sum(a == b for a, b in tested) / len(tested) >= least
+
+
+def auc(tested):
+    yes, no = ([s for s, y in tested if y == v] for v in (1, 0))
+    return sum((a > b) + (a == b) / 2 for a in yes for b in no) / (len(yes) * len(no))
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
+@pytest.mark.parametrize(("sf", "few"), [(SF, True), ("/root/testdata/sf0.1", False)])
+@pytest.mark.parametrize(("name", "label", "least", "cut"), [("op4_toxicity", "toxic", 0.9, 0.5), ("op9_quality_classifier", "quality", 0.9, 0.3)])
+def test_better_than_a_constant(spark, sf, few, name, label, least, cut):
+    rows = queries.registered()[name](spark, sf).where("held_out").collect()
+    truth = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    tested = [(r.score, truth[r.doc_id]) for r in rows if r.doc_id in truth]
+    right = sum((s >= cut) == y for s, y in tested)
+    ones = sum(y for _, y in tested)
+    assert right > max(ones, len(tested) - ones) and auc(tested) >= least - 0.1 * few  # six toxic documents held out at sf0.01
+
+
+def test_texts_are_scored_by_lexicons_they_had_no_part_in(spark):
+    """Each fold's lexicon is that of the other folds alone."""
+    draw = random.Random(8)
+    rows = [(" ".join([draw.choice(["vile", "nasty", "plain", "calm"]) if i % 2 else draw.choice(["plain", "calm", "kind"]) for _ in range(6)]) + f" x{i}", i % 2) for i in range(400)]
+    sample = toxicity._folded(spark.createDataFrame(rows, "text string, label int"))
+    counts = toxicity._counts(sample)
+    assert {r.fold for r in sample.select("fold").distinct().collect()} == set(range(toxicity.FOLDS))
+    for k in range(2):
+        alone = toxicity._lexicon(toxicity._counts(sample.where(f"fold != {k}")))
+        assert toxicity._lexicon(counts, k) == alone and alone["vile"] > 1
+
+
+def test_evidence_and_curve_against_their_definition():
+    """The law of the r best normalised scores by numeric integration, the curve by its gradient."""
+    import math
+
+    import numpy as np
+
+    lam, log_k, m = 0.7, math.log(0.05), 400
+    one = toxicity.evidence([toxicity.Segment(0, 3, 9.0)], m, lam, log_k)
+    s = lam * 9.0 - math.log(m) - log_k
+    assert one == pytest.approx(s - math.lgamma(2) - math.lgamma(1), abs=1.0) and one > 0
+    assert toxicity.evidence([], m, lam, log_k) == 0 and toxicity.evidence([toxicity.Segment(0, 1, 0.1)], m, lam, log_k) == 0
+    two = toxicity.evidence([toxicity.Segment(0, 3, 9.0), toxicity.Segment(5, 9, 9.0)], m, lam, log_k)
+    assert two > one
+    draw = np.random.default_rng(4)
+    x = draw.normal(0, 2, 500)
+    y = (draw.random(500) < 1 / (1 + np.exp(-(0.5 + 1.5 * x)))).astype(float)
+    a, b = toxicity._logistic(x, y)
+    p = 1 / (1 + np.exp(-(a + b * x)))
+    assert abs((y - p).sum() - 1e-3 * a) < 1e-6 and abs(((y - p) * x).sum() - 1e-3 * b) < 1e-6 and b == pytest.approx(1.5, abs=0.4)
+    rate = toxicity._rate(np.array([2.0] * 30 + [3.0] * 5), 5000, -0.1)
+    n = 5000
+    over = 30 * math.exp(2 * rate) + 5 * math.exp(3 * rate) + (n - 35) * math.exp(-0.1 * rate) - n
+    assert abs(over) / n < 0.02
