@@ -4,8 +4,10 @@ classifier trained on the result decides about the spans no fixed rule covers.
 Base spans come from one pattern and one check per kind and always stay. Candidates are looser
 spans that touch no base span: long tokens, runs and groups of digits, account numbers in groups,
 addresses without a dot, and what stands right after a word of the first gazetteer: groups of
-digits, tokens with a digit, and any token after an assignment sign. (Those after a word that touch
-another candidate are left to it.) Five
+digits, tokens with a digit, and any token after an assignment sign. A stretch has one kind: of
+candidates that touch, that of the kind named first stays, and one after a word is left to
+the others. What counts as a number is part of the method: 2 to 8 groups of digits joined by one
+sign (2 to 10 after a word of the gazetteer), 3 to 9 groups of an account number. Five
 labelers vote yes, no or nothing on each: strict forms, what the span consists of, a gazetteer
 of words that stand before personal data, a gazetteer of words that stand before harmless
 numbers, and the signs between that word and the span (assignment, colon). Votes are counted
@@ -16,7 +18,8 @@ whose counts are weighted by the candidates' probabilities. A candidate of which
 of which the votes think likewise, is added under its kind's name, ``secret``, ``number`` or
 ``address``.
 
-All of it is column expressions. A text is searched inside its own row; what is shuffled are
+All of it is column expressions, linear in a text: places come from running sums that are kept in lists
+of short arrays, and overlaps from one pass over sorted spans in either direction. A text is searched inside its own row; what is shuffled are
 counts with a partial step before. Repetitions in the patterns are possessive, and a match may
 only begin where a run begins (or where the last match ended); both leave the matches as they
 are and keep the search linear in long runs.
@@ -28,6 +31,7 @@ empty table gives an empty result. Without candidates nothing is added.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -44,7 +48,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}+",
+    "secret": r"(?<![A-Za-z0-9_+/-])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{20,}+",
     "number": r"(?<![A-Za-z0-9.+])[0-9]{6,}+(?![A-Za-z0-9])|\([0-9]{2,4}\) ?[0-9]{3,4}[\x20.-][0-9]{4}"
     r"|(?<![A-Za-z0-9.+-])[0-9]{2,4}([\x20.-])[0-9]{2,4}(?:\1[0-9]{2,4}){1,6}(?!\1[0-9]|[A-Za-z0-9])"
     r"|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}){1,7}\x20(?=[A-Z]*[0-9])[A-Z0-9]{1,4}(?![A-Za-z0-9])",
@@ -68,7 +72,8 @@ PATTERNS["after"] = (
 )
 HINTS["after"] = rf"(?i)(?<!\p{{L}})(?:{'|'.join(GAZETTEER)})(?!\p{{L}})"
 LABELERS = ["form", "make", "before", "harmless", "signs"]
-CONTEXT = 24
+CONTEXT = 64  # characters before a span that are looked at
+GROWTH = 256  # entries of an array that is still appended to
 SLOTS = 256
 ROUNDS = 50
 SURE = 0.9
@@ -80,23 +85,68 @@ class Trained(NamedTuple):
     weights: dict[str, list[float]]  # per feature, log-odds of each slot
 
 
+PLACE = "struct<start:int,end:int,hit:string,before:string>"
+SPAN = "struct<kind:string,start:int,end:int,hit:string,before:string>"
+MARKED = f"struct<start:int,end:int,own:int,span:{SPAN}>"
+
+
+def _scan(items: Column, kind: str, first: dict[str, Column], step: Callable[[Column, Column], tuple[dict[str, Column], Column, Column]]) -> Column:
+    """What ``step`` gives for each item and the state before it, left to right, as one array.
+
+    ``step`` returns the next state, the element, and whether the element is given. Appending copies
+    an array, so a full one of ``GROWTH`` entries is put away and a new one begun.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    zero = F.struct(*[v.alias(k) for k, v in first.items()], none.alias("block"), F.array().cast(f"array<array<{kind}>>").alias("done"))
+
+    def add(state: Column, item: Column) -> Column:
+        after, element, given = step(state, item)
+        full = given & (F.size(state["block"]) >= GROWTH)
+        block = F.when(full, F.array(element)).when(given, F.array_append(state["block"], element)).otherwise(state["block"])
+        done = F.when(full, F.array_append(state["done"], state["block"])).otherwise(state["done"])
+        return F.struct(*[v.alias(k) for k, v in after.items()], block.alias("block"), done.alias("done"))
+
+    return F.aggregate(items, zero, add, lambda state: F.flatten(F.array_append(state["done"], state["block"])))
+
+
 def _places(text: Column, pattern: str) -> Column:
-    """All matches, left to right, as structs of start, end (code points, exclusive) and text."""
+    """All matches, left to right, as structs of start, end (code points, exclusive), text, and what stands before."""
     between, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    tail = lambda t: F.right(t, F.lit(CONTEXT))
 
-    def add(state: Column, pair: Column) -> Column:
-        s = state["at"] + F.length(pair["b"])
-        return F.struct((s + F.length(pair["h"])).alias("at"), F.array_append(state["starts"], s).alias("starts"))
+    def step(state: Column, pair: Column) -> tuple[dict[str, Column], Column, Column]:
+        start = state["at"] + F.length(pair["b"])
+        end = start + F.length(pair["h"])
+        before = tail(F.concat(state["tail"], pair["b"]))
+        element = F.struct(start.alias("start"), end.alias("end"), pair["h"].alias("hit"), before.alias("before"))
+        return {"at": end, "tail": tail(F.concat(before, pair["h"]))}, element, F.lit(True)
 
     def put(found: Column) -> Column:
         pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, h: F.struct(b.alias("b"), h.alias("h")))
-        starts = F.aggregate(pairs, start, add, lambda state: state["starts"])
-        return F.zip_with(starts, found, lambda s, h: F.struct(s.alias("start"), (s + F.length(h)).alias("end"), h.alias("hit")))
+        return _scan(pairs, PLACE, {"at": F.lit(0), "tail": F.lit("")}, step)
 
     return bind(hits, put)
 
 
+def _clear(spans: Column, others: Column) -> Column:
+    """The spans that touch none of the others, in order of start: one pass to the right, one to the left."""
+    mark = lambda own: lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(own).alias("own"), s.alias("span"))
+    both = F.sort_array(F.concat(F.transform(spans, mark(1)), F.transform(others, mark(0))))
+    other = lambda m: m["own"] == 0
+
+    def right(state: Column, m: Column) -> tuple[dict[str, Column], Column, Column]:
+        reach = F.when(other(m), F.greatest(state["reach"], m["end"])).otherwise(state["reach"])
+        return {"reach": reach}, m, other(m) | (m["start"] >= state["reach"])
+
+    def left(state: Column, m: Column) -> tuple[dict[str, Column], Column, Column]:
+        low = F.when(other(m), F.least(state["low"], m["start"])).otherwise(state["low"])
+        return {"low": low}, m, ~other(m) & (m["end"] <= state["low"])
+
+    there = _scan(both, MARKED, {"reach": F.lit(-1)}, right)
+    back = _scan(F.reverse(there), MARKED, {"low": F.lit((1 << 31) - 1)}, left)
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), F.transform(F.reverse(back), lambda m: m["span"])).otherwise(spans)
+
+
 def _digits(hit: Column) -> Column:
     return F.regexp_replace(hit, "[^0-9]", "")
 
@@ -124,8 +174,8 @@ def _passes(kind: str, hit: Column) -> Column:
 def _found(text: Column, kind: str) -> Column:
     """Spans of a kind that pass its check."""
     hits = F.filter(_places(text, PATTERNS[kind]), lambda s: _passes(kind, s["hit"]))
-    spans = F.transform(hits, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"], s["end"], s["hit"]))
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,hit:string>>")
+    spans = F.transform(hits, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"], s["end"], s["hit"], s["before"]))
+    none = F.array().cast(f"array<{SPAN}>")
     return F.when(text.rlike(HINTS[kind]), spans).otherwise(none)
 
 
@@ -133,7 +183,7 @@ def _slot(value: Column) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(SLOTS)).cast("int")
 
 
-def _judged(text: Column, span: Column) -> Column:
+def _judged(span: Column) -> Column:
     """A candidate with its votes and feature slots."""
 
     def judge(before: Column) -> Column:
@@ -154,12 +204,11 @@ def _judged(text: Column, span: Column) -> Column:
             span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"),
             sum(((v + 1) * 3**k for k, v in enumerate(votes)), F.lit(0)).alias("votes"),
             _slot(F.concat(word, F.regexp_replace(signs, r"\s", ""))).alias("word"),
-            _slot(F.substring(make, 1, 8)).alias("make"),
+            _slot(make).alias("make"),
             F.least(F.length(span["hit"]), F.lit(SLOTS - 1)).alias("length"),
         )
 
-    first = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    return bind(F.substring(text, first + 1, span["start"] - first), judge)
+    return bind(span["before"], judge)
 
 
 FEATURES = ["word", "make", "length"]
@@ -169,22 +218,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, ``base`` spans in order, and ``judged`` candidates. Written once."""
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     text = F.col("text")
-    loose = F.concat(*[_found(text, k) for k in ADDED])
     kind = lambda hit: F.when(hit.rlike("[A-Za-z]"), "secret").otherwise("number")
-    after = F.transform(_found(text, "after"), lambda s: F.struct(kind(s["hit"]).alias("kind"), s["start"], s["end"], s["hit"]))
-    spans = source.select(
-        "doc_id", "text", F.concat(*[_found(text, k) for k in BASE]).alias("base"), loose.alias("loose"), after.alias("after")
-    )
-    touches = lambda s, others: F.exists(others, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    tried = F.concat(
-        F.filter("loose", lambda s: ~touches(s, "base")),
-        F.filter("after", lambda s: ~touches(s, "base") & ~touches(s, "loose")),
+    after = F.transform(_found(text, "after"), lambda s: F.struct(kind(s["hit"]).alias("kind"), s["start"], s["end"], s["hit"], s["before"]))
+    found = source.select(
+        "doc_id", F.concat(*[_found(text, k) for k in BASE]).alias("base"), *[_found(text, k).alias(k) for k in ADDED], after.alias("after")
     )
+    found = found.withColumn("taken", F.col("base"))
+    for k in [*ADDED, "after"]:  # each leaves out what touches a span before it
+        found = found.withColumn(k, _clear(F.col(k), F.col("taken"))).withColumn("taken", F.concat("taken", k))
+    order = F.create_map(*[F.lit(v) for n, k in enumerate(ADDED) for v in (k, n)])
+    keyed = F.transform(F.concat(*ADDED, "after"), lambda s: F.struct(order[s["kind"]].alias("order"), s["start"].alias("start"), s.alias("span")))
     return materialise(
-        spans.select(
+        found.select(
             "doc_id",
             F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"])).alias("base"),
-            F.transform(tried, lambda s: _judged(text, s)).alias("judged"),
+            F.transform(F.sort_array(keyed), lambda s: _judged(s["span"])).alias("judged"),
         ), "pii-candidates",
     )
 

@@ -2,8 +2,10 @@
 
 import hashlib
 import re
+import time
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from dockcast.llm import mixing, pii, quality
@@ -192,6 +194,55 @@ def test_spans_after_words_and_in_groups_are_candidates(spark):
     assert got == {t: [hit] if hit else [] for t, hit in LOOSE.items()}
 
 
+CLASHING = [
+    "password: hunter20pass then mail: bob20@corp. and key=12345678901234567890123 and key=0x12ab34cd56ef78ab90cd12",
+    "tel 312-555-0142, 312-555-0143; iban DE89 3704 0044 0532 0130 00 card 4111 1111 1111 1111 token: 4111-1111",
+    "mail a.b@c.de pass=a.b@c.de secret = xyz@corp contact: +49 30 1234567 é日 phone é 5550142",
+    "api " + " ".join(f"{n:02d}-{n * 7 % 90 + 10}-{n * 3 % 900 + 100}" for n in range(700)),
+    " ".join(f"token={hashlib.sha1(str(n).encode()).hexdigest()[:n % 9 + 18]} x{n}@y" for n in range(600)),
+]
+
+
+def slow_candidates(text):
+    """Matches of each kind in turn, without those that touch a span already taken."""
+    taken = slow_spans(text)
+    for kind in [*pii.ADDED, "after"]:
+        own = [(m.start(), m.end()) for m in regex.finditer(pii.PATTERNS[kind], text)] if regex.search(pii.HINTS[kind], text) else []
+        free = [(s, e) for s, e in own if not any(a < e and s < b for _, a, b in taken)]
+        name = lambda s, e: kind if kind != "after" else "secret" if re.search("[A-Za-z]", text[s:e]) else "number"  # noqa: E731, B023
+        taken = [*taken, *[(name(s, e), s, e) for s, e in free]]
+    return sorted(taken[len(slow_spans(text)) :], key=lambda c: (pii.ADDED.index(c[0]), c[1]))
+
+
+def test_candidates_equal_brute_force_in_order_and_once(spark):
+    texts = [t for t in (*PRIVATE[2:7], *PRIVATE[9:12], *LOOSE, *CLASHING)]
+    got = {r.doc_id: r.judged for r in pii.candidates(docs(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    for i, text in enumerate(texts):
+        assert [(c.kind, c.start, c.end) for c in got[i]] == slow_candidates(text), text[:80]
+        assert len({(c.start, c.end) for c in got[i]}) == len(got[i])
+
+
+def test_listed_spans_are_ordered_by_kind_and_start(spark):
+    rows = [f"password: hunter{n}pass then mail: bob{n}@corp. and key={n}2345678901234567890 secret: swordfish{n}" for n in range(10, 40)]
+    kinds = [*pii.BASE, *pii.ADDED]
+    found = 0
+    for r in pii.spans(docs(spark, [(i, t, "s") for i, t in enumerate(rows)])).collect():
+        listed = [(kinds.index(s.kind), s.start, s.end) for s in (*r.base, *r.added)]
+        assert listed == sorted(listed) and len({s[1:] for s in listed}) == len(listed)
+        found += len({s[0] for s in listed}) > 1
+    assert found == len(rows)
+
+
+def test_places_in_a_text_of_many_groups_take_linear_time(spark):
+    took = []
+    for n in (8_000, 64_000):
+        table = docs(spark, [(1, "12 345 " * (n // 2), "s")])
+        start = time.perf_counter()
+        assert len(pii.candidates(table).first().judged) <= 1  # groups of eight at most are a number
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12  # the square of 8 would be 64 times the first
+
+
 def test_short_tokens_after_words_are_added(spark):
     rows = [f"password: hunter{n}pass" for n in range(20)] + [f"SSN: 123-45-67{n}" for n in range(10, 30)]
     rows += [f"page {n}1234567 or dampfschifffahrtsgesellschaft{'x' * n}" for n in range(40)]
