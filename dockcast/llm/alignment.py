@@ -20,13 +20,17 @@ an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +38,8 @@ from dockcast.llm.common import slices, texts_of
 from dockcast.session import materialise
 
 MAX_KEPT = 100_000  # windows, and those of one run of rows
-LONG = 64  # tokens of a window that isn't kept
+MAX_PARTS = 200_000  # parts of texts with their ids, and those of one run of rows
+LONG = 64  # tokens of a window, or characters of a part, that is kept at most
 MAX_PAIRS = 2_000_000  # pairs broadcast, 13 bytes each
 PAIRS_AT_A_TIME = 4_000_000
 
@@ -46,8 +51,30 @@ class Tokenizer(NamedTuple):
     spelled: list[bytes]
 
 
-def byte_level(path: str) -> Tokenizer:
-    """A byte-level BPE file. A space goes before the text; special strings are plain text."""
+def _remembered(split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]]) -> Callable[[list[str]], list[list[int]]]:
+    """Encodes texts by parts that don't depend on each other; parts met lately are looked up."""
+    known: dict[str, list[int]] = {}
+
+    def run(texts: list[str]) -> list[list[int]]:
+        parts = [split(t) for t in texts]
+        if len(known) > MAX_PARTS:
+            known.clear()
+        new = list({p for ps in parts for p in ps if p not in known})
+        known.update(zip(new, encode(new) if new else [], strict=True))
+        ids = [list(chain.from_iterable(map(known.__getitem__, ps))) for ps in parts]
+        for p in new:
+            if len(p) > LONG:
+                del known[p]
+        return ids
+
+    return run
+
+
+def byte_level(path: str, pattern: str | None = None) -> Tokenizer:
+    """A byte-level BPE file. A space goes before the text; special strings are plain text.
+
+    ``pattern`` is that by which the file's library cuts a text; matches are encoded one by one.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer as Library
 
@@ -56,21 +83,36 @@ def byte_level(path: str) -> Tokenizer:
     code = _byte_code()
     names = {n: t for t, n in library.get_vocab(with_added_tokens=True).items()}
     spelled = [bytes(code[c] for c in t) if all(c in code for c in t) else t.encode() for t in (names.get(n, "") for n in range(max(names) + 1))]
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-
-    return Tokenizer(encode, spelled)
+    encode = lambda parts: [e.ids for e in library.encode_batch_fast(parts, add_special_tokens=False)]
+    with open(path, encoding="utf-8") as file:
+        front = json.load(file)["pre_tokenizer"]
+    if pattern is None or front["type"] != "ByteLevel" or front["add_prefix_space"] or not front.get("use_regex", True):
+        return Tokenizer(lambda texts: encode([" " + t for t in texts]), spelled)
+    matches = regex.compile(pattern).findall
+    return Tokenizer(_remembered(lambda t: matches(" " + t), encode), spelled)
 
 
 def pieces(path: str) -> Tokenizer:
-    """A sentence-piece model with byte fallback, which puts the space before the text itself."""
+    """A sentence-piece model with byte fallback, which puts the space before the text itself.
+
+    If no piece has a space behind another character, words don't depend on each other and are
+    encoded one by one, each with the spaces before it.
+    """
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [library.id_to_piece(n) for n in range(library.get_piece_size())]
     spelled = [bytes([int(t[3:5], 16)]) if library.is_byte(n) else t.replace("▁", " ").encode() for n, t in enumerate(names)]
-    return Tokenizer(lambda texts: library.encode(texts, num_threads=1), spelled)
+    encode = lambda parts: library.encode(parts, num_threads=1)
+    if any("▁" in t.lstrip("▁") for t in names):
+        return Tokenizer(encode, spelled)
+    space = [library.piece_to_id("▁")]
+    words = re.compile(" +[^ ]*").findall
+
+    def encode_words(parts: list[str]) -> list[list[int]]:
+        return [ids if len(p) > 1 else space for p, ids in zip(parts, encode([p[1:] for p in parts]), strict=True)]
+
+    return Tokenizer(_remembered(lambda t: words(" " + t), encode_words), spelled)
 
 
 def _byte_code() -> dict[str, int]:
@@ -190,14 +232,14 @@ class Aligner:
 
 
 @lru_cache(maxsize=2)
-def aligner(path_a: str, path_b: str) -> Aligner:
-    return Aligner(byte_level(path_a), pieces(path_b))
+def aligner(path_a: str, path_b: str, pattern: str | None) -> Aligner:
+    return Aligner(byte_level(path_a, pattern), pieces(path_b))
 
 
 SCHEMA = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs binary, times binary"
 
 
-def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) -> DataFrame:
+def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False, pattern: str | None = None) -> DataFrame:
     """Per row: ``doc_id, n_a, n_b, n_groups, n_links, groups, pairs, times``.
 
     ``groups`` lists the ids of each group, ``a1,a2|b1;a3|b2,b3`` (with ``digest`` its SHA-256);
@@ -206,7 +248,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = aligner(path_a, path_b)
+        both = aligner(path_a, path_b, pattern)
         if len(both.a.spelled) * len(both.b.spelled) > 1 << 32:
             raise ValueError("pairs of these tokenizers don't fit 32 bits")
         for part in slices(batches):
@@ -306,7 +348,9 @@ def _least(counts: DataFrame, most: int) -> int:
     return max(2, least)
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, digest: bool = False, max_pairs: int = MAX_PAIRS) -> DataFrame:
+def align(
+    docs: DataFrame, path_a: str, path_b: str, digest: bool = False, pattern: str | None = None, max_pairs: int = MAX_PAIRS
+) -> DataFrame:
     """Per row: ``doc_id, n_a, n_b, n_groups, n_links, groups, n_best, count_sum``.
 
     A link's count is that of its id pair: in how many rows it is linked. ``n_best`` are the links
@@ -314,7 +358,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, digest: bool = False, max_p
     """
     spark = docs.sparkSession
     width = len(pieces(path_b).spelled)
-    numbered = aligned(docs, path_a, path_b, digest).withColumn("rid", F.monotonically_increasing_id())
+    numbered = aligned(docs, path_a, path_b, digest, pattern).withColumn("rid", F.monotonically_increasing_id())
     rows = materialise(numbered, "align-rows")
     counts = pair_counts(rows, width)
     least = _least(counts, max_pairs)

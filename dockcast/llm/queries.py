@@ -97,7 +97,7 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
-    return alignment.align(table(spark, sf, "documents"), *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
+    return alignment.align(table(spark, sf, "documents"), *paths, digest=True, pattern=public_tokenizers.PATTERN).withColumnRenamed("groups", "groups_sha256")
 
 
 def op12_sharding(spark: SparkSession, sf: str) -> DataFrame:

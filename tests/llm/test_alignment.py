@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -65,7 +66,7 @@ def docs(spark):
 @pytest.mark.parametrize("most", [alignment.MAX_PAIRS, 20, 0])
 def test_alignment_equals_definition(docs, wanted, most):
     """All pairs broadcast, only the most common ones, none."""
-    got = {r.doc_id: tuple(r)[1:] for r in alignment.align(docs, A, B, max_pairs=most).collect()}
+    got = {r.doc_id: tuple(r)[1:] for r in alignment.align(docs, A, B, pattern=public_tokenizers.PATTERN, max_pairs=most).collect()}
     assert [got[i] for i in range(len(TEXTS))] == wanted
     assert sum(w[0] > 0 for w in wanted) >= 12
 
@@ -90,5 +91,14 @@ def test_windows_are_looked_up_and_forgotten(monkeypatch, wanted):
     assert plain(own.rows(TEXTS[:1])) == first[:1] and len(own.kept) < 12
 
 
+def test_parts_give_the_ids_of_whole_texts(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(120).collect() if Path("/root/testdata/sf0.001").exists() else []
+    texts = [t for t in TEXTS if t] + [r.text for r in rows if r.text] + ["  two", "end ", " ", "   ", "a\u00a0b", "e\u0301 \u0301x", "\u2581 \u2581x", "I'm 'S we'll  'tis"]
+    a, b = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    a.encode_special_tokens = True
+    assert alignment.byte_level(A, public_tokenizers.PATTERN).encode(texts) == [a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert alignment.pieces(B).encode(texts) == b.encode(texts)
+
+
 def test_empty_table(docs):
     assert alignment.align(docs.limit(0), A, B).count() == 0
