@@ -45,27 +45,44 @@ PAIRS_AT_A_TIME = 4_000_000
 
 
 class Tokenizer(NamedTuple):
-    """Ids of texts, and each id's bytes."""
+    """Ids of texts (none where the tokens don't spell a space and the text), and each id's bytes."""
 
-    encode: Callable[[list[str]], list[list[int]]]
+    encode: Callable[[list[str]], list[np.ndarray | None]]
     spelled: list[bytes]
 
 
-def _remembered(split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]]) -> Callable[[list[str]], list[list[int]]]:
-    """Encodes texts by parts that don't depend on each other; parts met lately are looked up."""
-    known: dict[str, list[int]] = {}
+def _remembered(split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], spelled: list[bytes]):
+    """Encodes texts by parts that don't depend on each other; parts met lately are looked up, packed.
 
-    def run(texts: list[str]) -> list[list[int]]:
-        parts = [split(t) for t in texts]
+    What a part's tokens spell is compared with it once. If that differs anywhere, the whole text is
+    compared.
+    """
+    known: dict[str, bytes] = {}
+    odd: set[str] = set()
+
+    def whole(parts: list[str], raw: bytes) -> bool:
+        return b"".join([spelled[n] for n in np.frombuffer(raw, "<u4").tolist()]) == "".join(parts).encode()
+
+    def run(texts: list[str]) -> list[np.ndarray | None]:
+        cut = [split(" " + t) for t in texts]
         if len(known) > MAX_PARTS:
             known.clear()
-        new = list({p for ps in parts for p in ps if p not in known})
-        known.update(zip(new, encode(new) if new else [], strict=True))
-        ids = [list(chain.from_iterable(map(known.__getitem__, ps))) for ps in parts]
+            odd.clear()
+        new = list({p for parts in cut for p in parts if p not in known})
+        for p, ids in zip(new, encode(new) if new else [], strict=True):
+            known[p] = np.array(ids, "<u4").tobytes()
+            if b"".join([spelled[n] for n in ids]) != p.encode():
+                odd.add(p)
+        out = []
+        for parts in cut:
+            raw = b"".join(map(known.__getitem__, parts))
+            same = whole(parts, raw) if odd and not odd.isdisjoint(parts) else True
+            out.append(np.frombuffer(raw, "<u4") if same else None)
         for p in new:
             if len(p) > LONG:
                 del known[p]
-        return ids
+                odd.discard(p)
+        return out
 
     return run
 
@@ -87,32 +104,28 @@ def byte_level(path: str, pattern: str | None = None) -> Tokenizer:
     with open(path, encoding="utf-8") as file:
         front = json.load(file)["pre_tokenizer"]
     if pattern is None or front["type"] != "ByteLevel" or front["add_prefix_space"] or not front.get("use_regex", True):
-        return Tokenizer(lambda texts: encode([" " + t for t in texts]), spelled)
-    matches = regex.compile(pattern).findall
-    return Tokenizer(_remembered(lambda t: matches(" " + t), encode), spelled)
+        return Tokenizer(_remembered(lambda t: [t], encode, spelled), spelled)
+    return Tokenizer(_remembered(regex.compile(pattern).findall, encode, spelled), spelled)
 
 
 def pieces(path: str) -> Tokenizer:
     """A sentence-piece model with byte fallback, which puts the space before the text itself.
 
     If no piece has a space behind another character, words don't depend on each other and are
-    encoded one by one, each with the spaces before it.
+    encoded one by one, each with the spaces before it (the library's own sign for a space is one to it).
     """
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [library.id_to_piece(n) for n in range(library.get_piece_size())]
     spelled = [bytes([int(t[3:5], 16)]) if library.is_byte(n) else t.replace("▁", " ").encode() for n, t in enumerate(names)]
-    encode = lambda parts: library.encode(parts, num_threads=1)
-    if any("▁" in t.lstrip("▁") for t in names):
-        return Tokenizer(encode, spelled)
     space = [library.piece_to_id("▁")]
-    words = re.compile(" +[^ ]*").findall
 
-    def encode_words(parts: list[str]) -> list[list[int]]:
-        return [ids if len(p) > 1 else space for p, ids in zip(parts, encode([p[1:] for p in parts]), strict=True)]
+    def encode(parts: list[str]) -> list[list[int]]:
+        return [ids if len(p) > 1 else space for p, ids in zip(parts, library.encode([p[1:] for p in parts], num_threads=1), strict=True)]
 
-    return Tokenizer(_remembered(lambda t: words(" " + t), encode_words), spelled)
+    alone = not any("▁" in t.lstrip("▁") for t in names)
+    return Tokenizer(_remembered(re.compile("[ ▁]+[^ ▁]*").findall if alone else lambda t: [t], encode, spelled), spelled)
 
 
 def _byte_code() -> dict[str, int]:
@@ -122,7 +135,7 @@ def _byte_code() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-Key = tuple[bytes, bytes]  # two tuples of ids, packed as 32-bit integers
+OTHER = 1 << 31  # marks the ids of the second tokenizer in a window's key
 
 
 class Window(NamedTuple):
@@ -145,23 +158,27 @@ NOTHING = Row(0, 0, 0, "", np.zeros(0, np.int64))
 
 
 class Aligner:
-    """Cuts texts into windows and keeps what was found for their id tuples."""
+    """Cuts texts into windows and keeps what was found for their id tuples, packed as one key."""
 
     def __init__(self, a: Tokenizer, b: Tokenizer):
         self.a, self.b = a, b
-        self.kept: dict[Key, Window] = {}
+        self.kept: dict[bytes, Window] = {}
         self._length = [np.array([len(t) for t in x.spelled], np.int64) for x in (a, b)]
         self._spaced = [np.array([t[:1] == b" " for t in x.spelled]) for x in (a, b)]
         # An id is written with the sign behind it: inside a group, at the end of its first half, at its end.
         self._written = [f"{n}{sign}" for x, signs in ((a, ",|"), (b, ",;")) for sign in signs for n in range(len(x.spelled))]
 
-    def align(self, keys: list[Key]) -> list[Window]:
+    def align(self, keys: list[bytes]) -> list[Window]:
         """The windows of all keys, in one pass over their ids one after the other.
 
         Tokens of both end where a window ends, so windows don't touch each other's groups and links.
         """
-        sizes = np.array([(len(x), len(y)) for x, y in keys], np.int64) // 4
-        a, b = (np.frombuffer(b"".join([k[side] for k in keys]), "<u4").astype(np.int64) for side in (0, 1))
+        ids = np.frombuffer(b"".join(keys), "<u4").astype(np.int64)
+        ends = np.array([len(k) // 4 for k in keys], np.int64).cumsum()
+        of_b = ids >= OTHER
+        a, b = ids[~of_b], ids[of_b] - OTHER
+        cut_b = of_b.cumsum()[ends - 1]
+        cut_a = ends - cut_b
         end_a, end_b = self._length[0][a].cumsum(), self._length[1][b].cumsum()
         last = np.searchsorted(end_b, end_a)
         closes_a = end_b[last] == end_a
@@ -176,7 +193,6 @@ class Aligner:
         written = np.concatenate([a + len(self.a.spelled) * closes_a, b + 2 * len(self.a.spelled) + len(self.b.spelled) * closes_b])
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         signs = list(map(self._written.__getitem__, written[order].tolist()))
-        cut_a, cut_b = sizes.cumsum(axis=0).T
         cut_links = [0, *ends[cut_a - 1].tolist()]
         cut_signs = [0, *(cut_a + cut_b).tolist()]
         n_groups = np.diff(np.concatenate([[0], closes_a.cumsum()[cut_a - 1]])).tolist()
@@ -185,49 +201,51 @@ class Aligner:
             for i, j, n, k, m in zip(cut_signs[:-1], cut_signs[1:], n_groups, cut_links[:-1], cut_links[1:], strict=True)
         ]
 
-    def _same(self, ids: list[int], spelled: list[bytes], text: bytes) -> bool:
-        return b"".join([spelled[n] for n in ids]) == text
-
-    def windows(self, text: str, ids_a: list[int], ids_b: list[int]) -> list[Key]:
-        """The text's windows; none if the tokens don't spell it."""
-        raw = b" " + text.encode()
-        if not text or not self._same(ids_a, self.a.spelled, raw) or not self._same(ids_b, self.b.spelled, raw):
-            return []
-        a, b = np.array(ids_a, "<u4"), np.array(ids_b, "<u4")
+    def windows(self, a: np.ndarray, b: np.ndarray) -> list[bytes]:
+        """The text's windows: the ids of the first tokenizer, then, marked, those of the second."""
         end_a, end_b = self._length[0][a].cumsum(), self._length[1][b].cumsum()
         at_b = np.searchsorted(end_b, end_a[:-1])
         anchors = np.flatnonzero((end_b[at_b] == end_a[:-1]) & self._spaced[0][a[1:]])
         after = at_b[anchors] + 1
         spaced = self._spaced[1][b[np.minimum(after, len(b) - 1)]]
-        cut_a = [0, *(4 * (anchors[spaced] + 1)).tolist(), 4 * len(a)]
-        cut_b = [0, *(4 * after[spaced]).tolist(), 4 * len(b)]
-        packed_a, packed_b = a.tobytes(), b.tobytes()
-        return [
-            (packed_a[i:j], packed_b[k:m]) for i, j, k, m in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True)
-        ]
-
-    def rows(self, texts: list[str]) -> list[Row]:
-        some = [t for t in texts if t]
-        ids = iter(list(zip(some, self.a.encode(some), self.b.encode(some), strict=True)) if some else [])
+        cut_a, cut_b = anchors[spaced] + 1, after[spaced]
+        number = [np.zeros(len(x), np.int64) for x in (a, b)]
+        for n, cut in zip(number, (cut_a, cut_b), strict=True):
+            n[cut] = 2
+        order = np.argsort(np.concatenate([number[0].cumsum(), number[1].cumsum() + 1]), kind="stable")
+        packed = np.concatenate([a, b | np.uint32(OTHER)])[order].tobytes()
+        ends = (4 * np.append(cut_a + cut_b, len(a) + len(b))).tolist()
+        return [packed[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def rows(self, texts: list[str | None]) -> list[Row]:
+        texts = [t or "" for t in texts]
         if len(self.kept) >= MAX_KEPT:
             self.kept.clear()
-        number: dict[Key, int] = {}
-        cut = [[number.setdefault(k, len(number)) for k in (self.windows(*next(ids)) if t else [])] for t in texts]
+        both = list(zip(self.a.encode(texts), self.b.encode(texts), strict=True)) if texts else []
+        both = [(a, b) if t and a is not None and b is not None else None for t, (a, b) in zip(texts, both, strict=True)]
+        number: dict[bytes, int] = {}
+        cut = [[number.setdefault(k, len(number)) for k in self.windows(*ids)] if ids else [] for ids in both]
         distinct = list(number)
         found = [self.kept.get(k) for k in distinct]
         new = [n for n, w in enumerate(found) if w is None]
         for n, w in zip(new, self.align([distinct[n] for n in new]) if new else [], strict=True):
             found[n] = w
-            if len(distinct[n][0]) + len(distinct[n][1]) <= 4 * LONG:
+            if len(distinct[n]) <= 4 * LONG:
                 self.kept[distinct[n]] = w
-        size = [(len(a) // 4, len(b) // 4) for a, b in distinct]
+        n_groups = np.array([w.n_groups for w in found], np.int64)
+        links = np.concatenate([NOTHING.links, *[w.links for w in found]])
+        many = np.array([len(w.links) for w in found], np.int64)
+        starts = many.cumsum() - many
+        groups = [w.groups for w in found]
         out = []
-        for own in cut:
-            ws = [found[n] for n in own]
-            out.append(Row(
-                sum([size[n][0] for n in own]), sum([size[n][1] for n in own]), sum([w.n_groups for w in ws]),
-                "".join([w.groups for w in ws])[:-1], np.concatenate([w.links for w in ws]),
-            ) if own else NOTHING)
+        for ids, own in zip(both, cut, strict=True):
+            if not ids:
+                out.append(NOTHING)
+                continue
+            of = np.array(own)
+            size = many[of]
+            at = np.repeat(starts[of] - (size.cumsum() - size), size) + np.arange(size.sum())
+            out.append(Row(len(ids[0]), len(ids[1]), int(n_groups[of].sum()), "".join([groups[n] for n in own])[:-1], links[at]))
         return out
 
 

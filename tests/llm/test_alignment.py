@@ -84,7 +84,7 @@ def test_windows_are_looked_up_and_forgotten(monkeypatch, wanted):
     plain = lambda rows: [r[:4] for r in rows]
     first = plain(own.rows(TEXTS))
     assert first == [(n, m, g, t) for n, m, g, _, t, _, _ in wanted]
-    assert len(own.kept) > 20 and all(len(k[0]) + len(k[1]) <= 4 * alignment.LONG for k in own.kept)
+    assert len(own.kept) > 20 and all(len(k) <= 4 * alignment.LONG for k in own.kept)
     assert plain(own.rows(TEXTS[:2])) == first[:2] and len(asked) == 1  # nothing new
     assert plain(own.rows(TEXTS)) == first and asked[1] < 4  # only the long ones
     monkeypatch.setattr(alignment, "MAX_KEPT", 3)
@@ -96,8 +96,11 @@ def test_parts_give_the_ids_of_whole_texts(spark):
     texts = [t for t in TEXTS if t] + [r.text for r in rows if r.text] + ["  two", "end ", " ", "   ", "a\u00a0b", "e\u0301 \u0301x", "\u2581 \u2581x", "I'm 'S we'll  'tis"]
     a, b = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
     a.encode_special_tokens = True
-    assert alignment.byte_level(A, public_tokenizers.PATTERN).encode(texts) == [a.encode(" " + t, add_special_tokens=False).ids for t in texts]
-    assert alignment.pieces(B).encode(texts) == b.encode(texts)
+    got = alignment.byte_level(A, public_tokenizers.PATTERN).encode(texts)
+    assert [x.tolist() for x in got] == [a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    for t, x, ids in zip(texts, alignment.pieces(B).encode(texts), b.encode(texts), strict=True):
+        assert x.tolist() == ids if x is not None else "\u2581" in t
+    assert alignment.pieces(B).encode(["\u2581 \u2581x"])[0] is None
 
 
 def test_empty_table(docs):
