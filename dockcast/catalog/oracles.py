@@ -166,6 +166,13 @@ def build() -> dict[str, str]:
     q["trip_count_od_day"] = _mode_attributes(["date", "s_sta_id", "t_sta_id"], ["s", "t"])
     q["trip_count_station_hour"] = _mode_attributes(["date", "hour", "s_sta_id"], ["s"])
     q["trip_count_od_period"] = _mode_attributes(["date", "hour_period", "s_sta_id", "t_sta_id"], ["s", "t"])
+    grains = {1: ["date"], 2: ["date", "s_sta_id"], 3: ["date", "s_sta_id", "t_sta_id"], 4: ["date", "s_sta_id", "hour"],
+              5: ["date", "s_sta_id", "t_sta_id", "hour_period"], 6: ["date", "s_sta_id", "hour_period"]}
+    every = ["date", "s_sta_id", "t_sta_id", "hour_period", "hour"]
+    q["trip_lattice"] = _with(*JOINED, body=" UNION ALL ".join(
+        f"SELECT {m} AS mode, {', '.join(c if c in keys else f'NULL AS {c}' for c in every)}, count(starttime) AS trip_count"
+        f" FROM trip_station WHERE {' AND '.join(f'{c} IS NOT NULL' for c in keys)} GROUP BY {', '.join(keys)}"
+        for m, keys in grains.items()))
     q["trip_count_station_period"] = _with(
         *GRIDDED,
         body=f"SELECT g.*, {_calendar('date')}, "
@@ -442,14 +449,16 @@ UNION ALL SELECT 'trip', count(*), round(CAST(sum(to_station_id) AS DOUBLE), 4)
     q["one_hot_several"] = """SELECT o_orderkey, CAST(coalesce(o_orderstatus = 'O', false) AS INTEGER) AS is_open,
   CAST(coalesce(o_orderstatus = 'F', false) AS INTEGER) AS is_final,
   CAST(coalesce(o_orderpriority = '1-URGENT', false) AS INTEGER) AS is_urgent FROM orders"""
-    q["forecast_one_split"] = _with(
-        *GRIDDED, LABELS_SQL,
-        f"""
-rows AS (SELECT g.*, CAST(l.cluster // 9 AS INTEGER) AS cluster, {_business('g.date')} AS business_day
+    q["station_clusters_in_blocks"] = q["station_clusters"]
+    for name, label in (("forecast_one_split", "l.cluster // 9"), ("forecast_one_split_labels", "l.cluster")):
+        q[name] = _with(
+            *GRIDDED, LABELS_SQL,
+            f"""
+rows AS (SELECT g.*, CAST({label} AS INTEGER) AS cluster, {_business('g.date')} AS business_day
   FROM grid g JOIN station_labels l ON g.s_sta_id = l.sta_id),
 fitted AS (SELECT cluster, business_day, avg(trip_count) AS pred FROM rows WHERE date < DATE '2024-01-26' GROUP BY ALL)""",
-        body=f"""SELECT s_sta_id, date, hour_period, cluster, trip_count, round(pred, {ROUND}) AS pred,
+            body=f"""SELECT s_sta_id, date, hour_period, cluster, trip_count, round(pred, {ROUND}) AS pred,
   CASE WHEN pred IS NULL THEN 'no train rows' ELSE 'ok' END AS status
-FROM rows LEFT JOIN fitted USING (cluster, business_day) WHERE date >= DATE '2024-01-26'"""
-    )
+FROM rows LEFT JOIN fitted USING (cluster, business_day) WHERE date >= DATE '2024-01-26'""",
+        )
     return q

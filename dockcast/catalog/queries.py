@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -15,6 +16,7 @@ from dockcast.config import EngineConfig, ForecastParams
 from dockcast.functions import timecols as tc
 from dockcast.operators import cleaning, joins, metrics, reshape, scaling, summarize, windows
 from dockcast.operators.grid import densify
+from dockcast.operators.ward import ward_labels
 from dockcast.plans import clusters, demand, episodes, forecast
 from dockcast.plans.trips import build_trips, join_stations
 from dockcast.plans.weather import build_weather, clean_weather, weather_by_period
@@ -139,6 +141,15 @@ def trip_count_station_period(spark, sf):
     )
 
 
+@query
+def trip_lattice(spark, sf):
+    """All six granularities from one stored count; ``mode`` says which one a row is of."""
+    found = summarize.trip_lattice(_joined(spark, sf))
+    keys = ["date", "s_sta_id", "t_sta_id", "hour_period", "hour"]
+    rows = [df.select(F.lit(m).alias("mode"), *[c if c in df.columns else F.lit(None).alias(c) for c in keys], "trip_count") for m, df in found.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query
 def trip_count_station_day_dense(spark, sf):
     return summarize.count_trips(_joined(spark, sf), 2, dense=True)
@@ -538,6 +549,14 @@ def station_clusters(spark, sf):
     return found.station.select("sta_id", "cluster")
 
 
+@query
+def station_clusters_in_blocks(spark, sf):
+    """The same labels, merged in rounds over blocks of 16 profiles."""
+    points = clusters.profile_points(reshape.profile_pivot(summarize.visit_count(_trips(spark, sf))))
+    labels = ward_labels(points, 8, block_rows=16)
+    return clusters.label_stations(roles.station(spark, sf), labels).select("sta_id", "cluster")
+
+
 @query
 def station_clusters_bisecting(spark, sf):
     found = clusters.process_clustering(_trips(spark, sf), 8, roles.station(spark, sf), method="bisecting")

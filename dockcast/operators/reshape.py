@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from dockcast.schemas import PROFILE_KEYS
 
 
+MAX_VALUES = 1000  # columns one_hot makes of one column
+
+
 def profile_pivot(visits: DataFrame, keys: list[str] = PROFILE_KEYS) -> DataFrame:
     """Station × (weekday, bucket) visit counts, zero where there was no visit.
 
@@ -40,8 +43,8 @@ def one_hot(
 
     ``names`` maps values to column names, for several columns per column. Without it the
     values are looked up and name their columns, after the column's name if there are several.
-    The values become columns of the plan, so only as many as a table can have columns make
-    sense; with declared values nothing is looked up.
+    The values become columns of the plan, so more than ``MAX_VALUES`` raise an error that names the
+    column; with declared values nothing is looked up.
     """
     several = not isinstance(columns, str)
     wanted = list(columns) if several else [columns]
@@ -50,7 +53,10 @@ def one_hot(
     for column in wanted:
         values = named.get(column)
         if values is None:
-            found = df.select(column).na.drop().distinct().orderBy(column).collect()
+            found = df.select(column).na.drop().distinct().limit(MAX_VALUES + 1).collect()
+            if len(found) > MAX_VALUES:
+                raise ValueError(f"column {column} has more than {MAX_VALUES} values; declare those that are wanted")
+            found.sort(key=lambda row: row[0])
             values = {row[0]: f"{column}_{row[0]}" if several else str(row[0]) for row in found}
         out |= {name: F.col(column).eqNullSafe(F.lit(value)).cast("int") for value, name in values.items()}
     made = df.withColumns(out) if out else df

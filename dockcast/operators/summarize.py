@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dockcast.functions.timecols import with_calendar
 from dockcast.operators.cleaning import known
 from dockcast.operators.grid import densify
+from dockcast.session import materialise
 from dockcast.operators.joins import lookup_join, with_prefix
 
 
@@ -97,6 +98,28 @@ def count_trips(
     return out
 
 
+def trip_lattice(trip_station: DataFrame) -> dict[int, DataFrame]:
+    """Sparse counts at all six granularities from one scan of the trips.
+
+    The finest count (both stations, date, bucket and hour) is written once; each coarser one is
+    added up from the closest finer one. Rows with an unknown key stay in until they are left out of
+    the granularities that need it, so every count is that of :func:`count_trips`.
+    """
+    finest = trip_station.groupBy("s_sta_id", "t_sta_id", "date", "hour_period", "hour").agg(F.count("starttime").alias("trip_count"))
+    finest = materialise(finest, "lattice-finest")
+
+    def coarser(counts: DataFrame, keys: list[str]) -> DataFrame:
+        return counts.groupBy(*keys).agg(F.sum("trip_count").alias("trip_count"))
+
+    from_finer = {5: None, 4: None, 3: 5, 6: 5, 2: 6, 1: 2}
+    raw: dict[int, DataFrame] = {}
+    for mode, finer in from_finer.items():
+        raw[mode] = coarser(finest if finer is None else raw[finer], GRANULARITIES[mode].keys)
+        if mode in (5, 6):  # these are read by others again
+            raw[mode] = materialise(raw[mode], f"lattice-{mode}")
+    return {mode: with_calendar(known(raw[mode], GRANULARITIES[mode].keys)) for mode in sorted(raw)}
+
+
 def distinct_count(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.countDistinct(column).alias("distinct_count"))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import json
+import uuid
 from multiprocessing.pool import ThreadPool
 from functools import reduce
 from typing import NamedTuple
@@ -150,20 +152,112 @@ def load_tables(spark: SparkSession, base: str, fmt: str = "csv") -> Tables:
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def save_prepared(prepared: Prepared, path: str) -> None:
-    """Parquet; trips are laid out by date, with large dates split over several files."""
-    prepared.station.write.mode("overwrite").parquet(f"{path}/station")
-    prepared.weather_period.write.mode("overwrite").parquet(f"{path}/weather_period")
-    laid_out = prepared.trip.hint("rebalance", "date")
-    laid_out.write.mode("overwrite").partitionBy("date").parquet(f"{path}/trip")
+# --- snapshots of prepared tables --------------------------------------------------------
+#
+# A snapshot is a manifest, ``manifest-000001.json`` and so on; the one with the highest number counts. It
+# names the folder of each table and the input files the table was made from. Tables are written
+# to folders of their own first, and the rename of the manifest to its name is what makes them the
+# snapshot. So a save that is interrupted leaves the old snapshot as it was, and a reader has
+# the tables of one snapshot, whatever is saved meanwhile.
+
+TABLES = ("station", "weather_period", "trip")
+
+
+def _manifests(spark: SparkSession, path: str) -> list[str]:
+    target, fs = _folder(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target) if s.isFile()]
+    return sorted(n for n in names if n.startswith("manifest-") and n.endswith(".json"))
+
+
+def _current(spark: SparkSession, path: str) -> dict | None:
+    found = _manifests(spark, path)
+    if not found:
+        return None
+    file, fs = _folder(spark, f"{path}/{found[-1]}")
+    stream = fs.open(file)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, path: str, manifest: dict) -> None:
+    found = _manifests(spark, path)
+    number = int(found[-1][len("manifest-") : -len(".json")]) + 1 if found else 1
+    draft, fs = _folder(spark, f"{path}/draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(json.dumps(manifest, indent=1).encode()))
+    stream.close()
+    final, _ = _folder(spark, f"{path}/manifest-{number:06d}.json")
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise RuntimeError(f"another save of {path} came first")
+
+
+def save_prepared(prepared: Prepared, path: str, inputs: dict | None = None, only: tuple[str, ...] = TABLES) -> None:
+    """A new snapshot in Parquet; trips are laid out by date, with large dates split over several files.
+
+    ``inputs`` are the input files by table. With ``only`` the other tables stay those of the
+    snapshot before, without being written again.
+    """
+    spark = prepared.trip.sparkSession
+    before = _current(spark, path) or {"tables": {}, "inputs": {}}
+    folder = f"data-{uuid.uuid4().hex}"
+    for name in only:
+        table = getattr(prepared, name)
+        if name == "trip":
+            table.hint("rebalance", "date").write.partitionBy("date").parquet(f"{path}/{folder}/trip")
+        else:
+            table.write.parquet(f"{path}/{folder}/{name}")
+    tables = before["tables"] | {name: f"{folder}/{name}" for name in only}
+    known = before["inputs"] | {name: (inputs or {}).get(name) for name in only}
+    _commit(spark, path, {"tables": tables, "inputs": known})
 
 
 def load_prepared(spark: SparkSession, path: str) -> Prepared:
-    return Prepared(*[spark.read.parquet(f"{path}/{name}") for name in ("station", "weather_period", "trip")])
+    """The tables of the newest snapshot."""
+    manifest = _current(spark, path)
+    if manifest is None:
+        raise FileNotFoundError(f"no snapshot in {path}")
+    return Prepared(*[spark.read.parquet(f"{path}/{manifest['tables'][name]}") for name in TABLES])
 
 
 def is_prepared(spark: SparkSession, path: str) -> bool:
-    return all(exists(spark, f"{path}/{name}/_SUCCESS") for name in ("station", "weather_period", "trip"))
+    manifest = _current(spark, path)
+    return manifest is not None and all(exists(spark, f"{path}/{manifest['tables'][name]}/_SUCCESS") for name in TABLES)
+
+
+def drop_snapshots(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Deletes all but the newest manifests, and the tables that none of the others names.
+
+    Not while another run saves: its tables have no manifest yet.
+    """
+    found = _manifests(spark, path)
+    named = set()
+    for name in found[-keep:]:
+        file, fs = _folder(spark, f"{path}/{name}")
+        stream = fs.open(file)
+        named |= {t.split("/")[0] for t in json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["tables"].values()}
+        stream.close()
+    target, fs = _folder(spark, path)
+    for status in fs.listStatus(target) if found else []:
+        name = status.getPath().getName()
+        if name in found[:-keep] or (name.startswith("data-") and name not in named):
+            fs.delete(status.getPath(), True)
+
+
+def input_files(spark: SparkSession, base: str, fmt: str = "csv") -> dict[str, list] | None:
+    """Name, size and time of the files each prepared table is made from; None without the data folder."""
+    target, fs = _folder(spark, base)
+    if not fs.exists(target):
+        return None
+    out = {}
+    for name, folder in zip(TABLES, ("station", "weather", "trip"), strict=True):
+        place, fs = _folder(spark, f"{base}/{folder}")
+        listed = [s for s in fs.listStatus(place) if s.isFile()] if fs.exists(place) else []
+        out[name] = sorted([s.getPath().getName(), s.getLen(), s.getModificationTime()] for s in listed if not s.getPath().getName().startswith((".", "_")))
+    return out
 
 
 def prepare_tables(tables: Tables) -> Prepared:
@@ -171,8 +265,19 @@ def prepare_tables(tables: Tables) -> Prepared:
 
 
 def prepare(spark: SparkSession, config: EngineConfig, reuse: bool | None = None, fmt: str = "csv") -> Prepared:
-    """Prepared tables: reloaded if wanted and complete, else built, saved and reloaded."""
+    """Prepared tables: those of the newest snapshot as far as their input files haven't changed.
+
+    Tables whose files are new, gone or changed are built and saved as a new snapshot. (The trips
+    all together: the mean that fills missing birth years is theirs.) Without the data folder, or
+    for tables saved without a list of files, the snapshot is taken as it is.
+    """
+    path = config.prepared_path
     wanted = config.reuse_prepared if reuse is None else reuse
-    if not (wanted and is_prepared(spark, config.prepared_path)):
-        save_prepared(prepare_tables(load_tables(spark, config.data_path, fmt)), config.prepared_path)
-    return load_prepared(spark, config.prepared_path)
+    now = input_files(spark, config.data_path, fmt)
+    stale = TABLES
+    if wanted and is_prepared(spark, path):
+        known = _current(spark, path)["inputs"]
+        stale = tuple(n for n in TABLES if now is not None and known.get(n) is not None and known[n] != now[n])
+    if stale:
+        save_prepared(prepare_tables(load_tables(spark, config.data_path, fmt)), path, now, stale)
+    return load_prepared(spark, path)

@@ -1,5 +1,6 @@
 from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
@@ -74,6 +75,36 @@ def test_prepare_saves_and_reuses(spark, data_folder, tmp_path):
         files.prepare(spark, gone, reuse=False)
 
 
+def test_changed_inputs_make_a_new_snapshot(spark, data_folder, tmp_path):
+    """Only tables whose files changed are built again; an interrupted save changes nothing; readers keep theirs."""
+    config = EngineConfig(data_path=data_folder, prepared_path=str(tmp_path / "saved"))
+    first = files.prepare(spark, config)
+    before = files._current(spark, config.prepared_path)["tables"]
+    files.prepare(spark, config)
+    assert files._manifests(spark, config.prepared_path) == ["manifest-000001.json"]
+
+    trip = sorted(Path(data_folder, "trip").glob("*.csv"))[0]
+    more = trip.with_name("more.csv")
+    head, *lines = trip.read_text().splitlines()
+    more.write_text("\n".join([head, *lines]) + "\n")
+    commit = files._commit
+    files._commit = lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    try:
+        with pytest.raises(RuntimeError):
+            files.prepare(spark, config)
+    finally:
+        files._commit = commit
+    assert files.load_prepared(spark, config.prepared_path).trip.count() == 2
+
+    again = files.prepare(spark, config)
+    after = files._current(spark, config.prepared_path)["tables"]
+    assert again.trip.count() > 2 and first.trip.count() == 2
+    assert after["trip"] != before["trip"] and {n: after[n] for n in ("station", "weather_period")} == {n: before[n] for n in ("station", "weather_period")}
+    files.drop_snapshots(spark, config.prepared_path, keep=1)
+    assert files.load_prepared(spark, config.prepared_path).trip.count() > 2
+    assert len(list(Path(config.prepared_path).glob("data-*"))) == 2  # the first still holds two of the tables
+
+
 def test_parquet_bundle(spark, data_folder, tmp_path):
     tables = files.load_tables(spark, data_folder)
     for name, df in zip(("station", "weather", "trip"), tables):
