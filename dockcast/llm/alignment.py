@@ -25,7 +25,6 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
