@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dockcast.functions.timecols import grid_key
@@ -95,9 +96,12 @@ def episodes_nested(
     A cluster of more than ``block_stations`` stations is dealt out by a hash of the station
     into ``station_blocks`` blocks of about that size, and ``station_block`` says which of them
     a matrix is; a smaller cluster has one block, number 0. So a matrix has a bounded size
-    however many stations a cluster has. The station vectors are built once per bucket and
-    only then sent to the episodes. ``data`` has to be dense, as the demand grid is; it is
+    however many stations a cluster has. ``data`` has to be dense, as the demand grid is; it is
     written once.
+
+    Each day's matrix is built and shuffled once. An episode is a window over the days of its group:
+    the days are ordered, and each end collects those in its frame where they lie, so what is
+    shuffled doesn't grow with ``episode_len``.
     """
     data = materialise(data.select(*CELL[1:], *dict.fromkeys([*features, label_field])), "episode-rows")
     placed = labels.select("sta_id", "cluster").join(
@@ -115,11 +119,21 @@ def episodes_nested(
     vectors = vectors.select(
         *group, "date", "hour_period", F.col("_cells.s_sta_id").alias("stations"), F.col("_cells.value").alias("row")
     )
-    rows = to_episodes(vectors, forecast_date, episode_len, label_day_len, train_days, test_days)
-    keyed = rows.withColumn("bucket", grid_key("date", "hour_period"))
-    by_time = F.array_sort(F.collect_list(F.struct("bucket", "row")))
-    tensor = keyed.groupBy("split", "episode_end", *group).agg(by_time.alias("_rows"), F.first("stations").alias("stations"))
-    return tensor.select(
-        "cluster", "split", "episode_end", "feature", "station_block", "station_blocks", "stations",
-        F.col("_rows.bucket").alias("buckets"), F.col("_rows.row").alias("matrix"),
+    low, high = forecast_date - timedelta(days=train_days + test_days), forecast_date - timedelta(days=1)
+    span = vectors.filter(F.col("date").between(F.lit(low - timedelta(days=episode_len - 1)), F.lit(high + timedelta(days=label_day_len))))
+    by_time = F.array_sort(F.collect_list(F.struct(grid_key("date", "hour_period").alias("bucket"), "row")))
+    days = span.groupBy(*group, "date").agg(F.struct(by_time.alias("rows"), F.first("stations").alias("stations")).alias("day"))
+    ends = F.explode(F.sequence(F.lit(low), F.lit(high), F.expr("interval 1 day"))).alias("date")
+    marks = vectors.select(*group).distinct().select(*group, ends, F.lit(None).cast(days.schema["day"].dataType).alias("day"), F.lit(True).alias("is_end"))
+    both = days.withColumn("is_end", F.lit(False)).unionByName(marks)
+    order = W.partitionBy(*group).orderBy(F.datediff("date", F.lit(low)))
+    is_label = F.col("feature") == "label"
+    before = F.collect_list(F.when(~is_label, F.col("day"))).over(order.rangeBetween(1 - episode_len, 0))
+    after = F.collect_list(F.when(is_label, F.col("day"))).over(order.rangeBetween(1, label_day_len))
+    episodes = both.withColumn("days", F.concat(before, after)).filter("is_end AND size(days) > 0")
+    split = F.when(F.col("date") < F.lit(forecast_date - timedelta(days=test_days)), "train").otherwise("test").alias("split")
+    rows = F.flatten("days.rows")
+    return episodes.select(
+        "cluster", split, F.col("date").alias("episode_end"), "feature", "station_block", "station_blocks",
+        F.col("days")[0]["stations"].alias("stations"), rows["bucket"].alias("buckets"), rows["row"].alias("matrix"),
     )

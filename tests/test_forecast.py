@@ -95,6 +95,17 @@ def test_rolling_dates_equal_single_dates(spark, tables, tmp_path):
     assert both.cluster_scores.count() == 4 and spark.read.parquet(ledger).count() == 4
 
 
+def test_shuffled_bytes_of_episodes_do_not_grow_with_their_length(spark):
+    """No row is copied before the last exchange: explodes make ends and features only."""
+    data = _dense(spark, 12, [3, 1, 2])
+    labels = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "sta_id long, cluster int")
+    for n in (2, 9):
+        nested = episodes.episodes_nested(data, labels, DAY + timedelta(days=10), features=["trip_count"], episode_len=n, train_days=4, test_days=2)
+        plan = nested._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" in plan and f"sequence(date, date_add(date, {n - 1})" not in plan
+        assert plan.count("Generate explode") == 1
+
+
 def _dense(spark, days, stations):
     rows = [(s, DAY + timedelta(days=d), p, s * 1000 + d * 10 + i) for s in stations for d in range(days)
             for i, p in enumerate(HOUR_PERIODS)]
@@ -122,6 +133,14 @@ def test_episodes_long_and_nested_agree(spark):
         d = (first - DAY).days
         assert list(r.matrix[0]) == [1000.0 + d * 10, 2000.0 + d * 10]
 
+    missing = data.filter(F.col("date") != F.lit(DAY + timedelta(days=7)))  # a day nobody has a row for
+    cells = episodes.episodes_nested(missing, labels, fd, **options).select(
+        "split", "episode_end", "feature", "stations", F.inline(F.arrays_zip("buckets", "matrix")))
+    cells = cells.select("split", "episode_end", "feature", "buckets", F.inline(F.arrays_zip("stations", "matrix")))
+    flat = episodes.episodes_long(missing, labels, fd, **options)
+    assert sorted((r[0], r[1], r[2], r[3], r[4], r[5]) for r in cells.collect()) == sorted(
+        (r.split, r.episode_end, r.feature, f"{r.date}_{r.hour_period}", r.s_sta_id, r.value) for r in flat.collect())
+
     blocks = episodes.episodes_nested(data, labels, fd, block_stations=1, **options).filter("cluster = 0")
     found = {(r.station_block, r.station_blocks, tuple(r.stations)) for r in blocks.collect()}
     assert sorted(s for _, _, stations in found for s in stations) == [1, 2]
