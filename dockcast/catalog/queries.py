@@ -557,6 +557,13 @@ def station_clusters_in_blocks(spark, sf):
     return clusters.label_stations(roles.station(spark, sf), labels).select("sta_id", "cluster")
 
 
+@query
+def station_clusters_leaves(spark, sf):
+    """The labels by way of leaves; with more leaves than profiles they are those of the exact method."""
+    found = clusters.process_clustering(_trips(spark, sf), 8, roles.station(spark, sf), method="leaves")
+    return found.station.select("sta_id", "cluster")
+
+
 @query
 def station_clusters_bisecting(spark, sf):
     found = clusters.process_clustering(_trips(spark, sf), 8, roles.station(spark, sf), method="bisecting")
