@@ -449,6 +449,8 @@ UNION ALL SELECT 'trip', count(*), round(CAST(sum(to_station_id) AS DOUBLE), 4)
     q["one_hot_several"] = """SELECT o_orderkey, CAST(coalesce(o_orderstatus = 'O', false) AS INTEGER) AS is_open,
   CAST(coalesce(o_orderstatus = 'F', false) AS INTEGER) AS is_final,
   CAST(coalesce(o_orderpriority = '1-URGENT', false) AS INTEGER) AS is_urgent FROM orders"""
+    q["backfill_weather_segments"] = q["backfill_weather"]
+    q["weather_daily_lags_segments"] = q["weather_daily_lags"]
     q["station_clusters_in_blocks"] = q["station_clusters_leaves"] = q["station_clusters"]
     for name, label in (("forecast_one_split", "l.cluster // 9"), ("forecast_one_split_labels", "l.cluster")):
         q[name] = _with(

@@ -336,6 +336,13 @@ def weather_period(spark, sf):
     return _means(_period(spark, sf))
 
 
+@query
+def weather_daily_lags_segments(spark, sf):
+    """The lags of ``weather_daily_lags`` with the calendar in segments of five days."""
+    daily = summarize.group_summary(clean_weather(roles.weather(spark, sf)), ["date"], MEASURES, FLAGS)
+    return _means(windows.lag_flags(daily, segment_days=5).na.drop("any"))
+
+
 @query
 def weather_daily_lags(spark, sf):
     return _means(build_weather(roles.weather(spark, sf)).daily)
@@ -468,6 +475,15 @@ def backfill_weather(spark, sf):
     return _means(filled)
 
 
+@query
+def backfill_weather_segments(spark, sf):
+    """The same with the axis numbered and filled in segments of four days."""
+    filled = demand.grid_with_weather(
+        _counts(spark, sf), _period(spark, sf), wrap=False, axis_rows=_bound(spark, sf), segment_days=4
+    )
+    return _means(filled)
+
+
 @query
 def grid_weather_join(spark, sf):
     joined = demand.grid_with_weather(

@@ -6,18 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dockcast.operators.axis import numbered
 from dockcast.operators.joins import MAX_BROADCAST_ROWS
 from dockcast.session import materialise
 
 AXIS_COLUMNS = ["_pos", "_size"]
 
 
-def time_axis(counts: DataFrame, time: list[str], value: str, **whole_axis_max: str) -> DataFrame:
+def time_axis(counts: DataFrame, time: list[str], value: str, segment_days: int | None = None, **whole_axis_max: str) -> DataFrame:
     """The observed times, numbered from 0 in ``_pos``, and their number in ``_size``.
 
     The windows have no partition key: their input is already one row per calendar bucket
     (at most 24 per day of history, whatever the number of trips), so one task orders a few
-    thousand rows. Each ``name=column`` adds the maximum of a column over the whole table.
+    thousand rows. With ``segment_days`` the axis is numbered in segments of so many days instead, and no
+    task has all of it. Each ``name=column`` adds the maximum of a column over the whole table.
 
     Ordering by the summed ``value`` last changes nothing, the times being distinct, but it
     keeps all columns of ``counts`` in use: the plan below is then the same as in the other
@@ -26,6 +28,9 @@ def time_axis(counts: DataFrame, time: list[str], value: str, **whole_axis_max:
     everything = W.partitionBy()
     tops = [F.max(c).alias(name) for name, c in whole_axis_max.items()]
     seen = counts.groupBy(*time).agg(F.sum(value).alias("_total"), *tops)
+    if segment_days:
+        placed = numbered(seen.select(*time), time, segment_days, time[0])
+        return placed.withColumns({name: seen.agg(F.max(name)).scalar() for name in whole_axis_max}) if whole_axis_max else placed
     return seen.select(
         *time,
         (F.row_number().over(W.orderBy(*time, "_total")) - 1).cast("int").alias("_pos"),

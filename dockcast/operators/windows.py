@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dockcast.operators.axis import shifted
 from dockcast.schemas import LAG_HOURS, LAGGED_FLAGS
 
 
-def lag_flags(daily: DataFrame, by: str = "rows") -> DataFrame:
+def lag_flags(daily: DataFrame, by: str = "rows", segment_days: int | None = None) -> DataFrame:
     """Each weather flag one, two and three days before, as ``<flag>_24h``, ``_48h``, ``_72h``.
 
     ``rows`` shifts by rows of the daily table: one row per date, so a single ordered
     window over the calendar. ``calendar`` looks up the exact earlier date, which differs
-    where dates are missing.
+    where dates are missing. With ``segment_days`` the calendar is cut into segments and no task has
+    all of it (:mod:`dockcast.operators.axis`).
     """
+    if by == "rows" and segment_days:
+        return shifted(daily, ["date"], {f"{f}_{hours}": (f, n) for n, hours in LAG_HOURS.items() for f in LAGGED_FLAGS}, segment_days)
     if by == "rows":
         return daily.selectExpr(
             "*",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.timecols import profile_key, with_calendar
 from dockcast.operators.cleaning import known
+from dockcast.operators.axis import next_known
 from dockcast.operators.grid import backfill, close_trailing_gap, condensed, densify, time_axis
 from dockcast.operators.joins import is_small, lookup_join
 from dockcast.operators.reshape import one_hot
@@ -110,6 +111,7 @@ def grid_with_weather(
     wrap: bool = True,
     fill: bool = True,
     axis_rows: int | None = None,
+    segment_days: int | None = None,
 ) -> DataFrame:
     """Dense grid of bucket counts with the weather of its bucket, gaps filled from the next bucket.
 
@@ -118,10 +120,11 @@ def grid_with_weather(
     """
     counts, axis_rows = condensed(counts, BUCKET, axis_rows)
     last = {"_last_station": "s_sta_id"} if wrap and fill else {}
-    axis = time_axis(counts, BUCKET, "trip_count", **last)
+    axis = time_axis(counts, BUCKET, "trip_count", segment_days, **last)
     axis = axis.join(weather_period.select(*BUCKET, *WEATHER_COLUMNS), BUCKET, "left")
     if fill:
-        axis = backfill(axis, BUCKET, WEATHER_COLUMNS, wrap)
+        fill_gaps = next_known if segment_days else backfill
+        axis = fill_gaps(axis, BUCKET, WEATHER_COLUMNS, wrap=wrap, **({"segment_days": segment_days} if segment_days else {}))
     axis = with_calendar(axis)
     grid = densify(counts, ["s_sta_id"], BUCKET, "trip_count", axis, axis_rows)
     if wrap and fill:

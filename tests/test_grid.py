@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from dockcast import session
 from dockcast.operators import joins
-from dockcast.operators.grid import densify
+from dockcast.operators import axis
+from dockcast.operators.grid import backfill, densify
 from dockcast.operators.cleaning import time_window
 from dockcast.operators.summarize import GRANULARITIES, count_trips, visit_count
 from dockcast.plans import demand
@@ -173,3 +174,32 @@ def test_scratch_tables_go(spark, monkeypatch):
     (file,) = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
     session.drop_scratch(spark)
     assert not Path(file.removeprefix("file://").removeprefix("file:")).exists()
+
+
+@pytest.mark.parametrize("days", [1, 3, 1000])
+def test_segments_of_an_axis_equal_the_whole(spark, days):
+    """Numbers, shifts and next known values, with gaps longer than a segment."""
+    draw = np.random.default_rng(days)
+    rows = [(DAY + timedelta(days=d), p, None if d in (3, 4, 5, 6, 7) or draw.random() < 0.4 else float(d), None if d < 9 else 1.0)
+            for d in range(14) for p in HOUR_PERIODS if draw.random() < 0.8 and d != 11]
+    rows += [(DAY + timedelta(days=20), HOUR_PERIODS[0], None, None)]
+    table = spark.createDataFrame(rows, "date date, hour_period string, x double, y double").repartition(3)
+    order = ["date", "hour_period"]
+    plain = sorted(rows, key=lambda r: r[:2])
+    got = axis.numbered(table, order, days).orderBy(*order).collect()
+    assert [r["_pos"] for r in got] == list(range(len(rows))) and {r["_size"] for r in got} == {len(rows)}
+    for wrap in (False, True):
+        one, other = (f(table, order, ["x", "y"], wrap=wrap, **more).orderBy(*order) for f, more in ((backfill, {}), (axis.next_known, {"segment_days": days})))
+        assert [r.asDict() for r in other.collect()] == [r.asDict() for r in one.select(other.columns).collect()]
+    lagged = axis.shifted(table, order, {"x_1": ("x", 1), "y_5": ("y", 5)}, days).orderBy(*order).collect()
+    assert [(r.x_1, r.y_5) for r in lagged] == [(plain[k - 1][2] if k else None, plain[k - 5][3] if k > 4 else None) for k in range(len(plain))]
+
+
+def test_no_window_has_the_whole_axis(spark):
+    """Every unpartitioned window in these plans reads one row per segment."""
+    table = spark.range(1000).selectExpr("date_add(date '2020-01-01', cast(id AS int)) AS date", "cast(id AS double) AS x")
+    for made in (axis.numbered(table, ["date"], 30), axis.next_known(table, ["date"], ["x"], 30), axis.shifted(table, ["date"], {"y": ("x", 2)}, 30)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        for k, line in enumerate(plan):
+            if "+- Window [" in line and "_segment" not in line.split("windowspecdefinition(")[1].split(" ASC")[0].split(" DESC")[0].split(",")[0]:
+                assert any("Aggregate [_segment" in below for below in plan[k + 1 : k + 6]), line
