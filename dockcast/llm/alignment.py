@@ -22,14 +22,13 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,94 +36,59 @@ from dockcast.llm.common import slices, texts_of
 from dockcast.session import materialise
 
 MAX_KEPT = 100_000  # windows, and those of one run of rows
-MAX_PARTS = 200_000  # parts of texts with their ids, and those of one run of rows
-LONG = 64  # tokens of a window, or characters of a part, that is kept at most
+LONG = 64  # tokens of a window that is kept at most
 MAX_PAIRS = 2_000_000  # pairs broadcast, 13 bytes each
 PAIRS_AT_A_TIME = 4_000_000
 
 
 class Tokenizer(NamedTuple):
-    """Ids of texts (none where the tokens don't spell a space and the text), and each id's bytes."""
+    """Ids of texts, and each id's bytes."""
 
-    encode: Callable[[list[str]], list[np.ndarray | None]]
+    encode: Callable[[list[str]], list[np.ndarray]]
     spelled: list[bytes]
 
 
-def _remembered(split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], spelled: list[bytes]):
-    """Encodes texts by parts that don't depend on each other; parts met lately are looked up, packed.
-
-    What a part's tokens spell is compared with it once. If that differs anywhere, the whole text is
-    compared.
-    """
-    known: dict[str, bytes] = {}
-    odd: set[str] = set()
-
-    def whole(parts: list[str], raw: bytes) -> bool:
-        return b"".join([spelled[n] for n in np.frombuffer(raw, "<u4").tolist()]) == "".join(parts).encode()
-
-    def run(texts: list[str]) -> list[np.ndarray | None]:
-        cut = [split(" " + t) for t in texts]
-        if len(known) > MAX_PARTS:
-            known.clear()
-            odd.clear()
-        new = list({p for parts in cut for p in parts if p not in known})
-        for p, ids in zip(new, encode(new) if new else [], strict=True):
-            known[p] = np.array(ids, "<u4").tobytes()
-            if b"".join([spelled[n] for n in ids]) != p.encode():
-                odd.add(p)
-        out = []
-        for parts in cut:
-            raw = b"".join(map(known.__getitem__, parts))
-            same = whole(parts, raw) if odd and not odd.isdisjoint(parts) else True
-            out.append(np.frombuffer(raw, "<u4") if same else None)
-        for p in new:
-            if len(p) > LONG:
-                del known[p]
-                odd.discard(p)
-        return out
-
-    return run
-
-
 def byte_level(path: str, pattern: str | None = None) -> Tokenizer:
     """A byte-level BPE file. A space goes before the text; special strings are plain text.
 
-    ``pattern`` is that by which the file's library cuts a text; matches are encoded one by one.
+    ``pattern`` is that by which the file's library cuts a text. With it, and if each token is made by
+    one merge and ids are in order of the merges, the ids are the ranks of the faster of two libraries that
+    merge alike; otherwise the file's own library encodes.
     """
+    code = _byte_code()
+    raw = lambda t: bytes(code[c] for c in t)
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, front = spec["model"], spec["pre_tokenizer"]
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    vocab = {t: n for t, n in model["vocab"].items() if t not in special}
+    names = {n: raw(t) for t, n in vocab.items()} | {n: t.encode() for t, n in special.items()}
+    spelled = [names.get(n, b"") for n in range(max(names) + 1)]
+    made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    plain = front["type"] == "ByteLevel" and not front["add_prefix_space"] and not model.get("ignore_merges")
+    ordered = made == sorted(set(made)) and len(made) + 256 == len(vocab) and min(made) >= 256
+    if pattern and plain and ordered:
+        fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks={raw(t): n for t, n in vocab.items()}, special_tokens={})
+        return Tokenizer(lambda texts: [fast.encode_to_numpy(" " + t, disallowed_special=()) for t in texts], spelled)
+
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer as Library
 
     library = Library.from_file(path)
     library.encode_special_tokens = True
-    code = _byte_code()
-    names = {n: t for t, n in library.get_vocab(with_added_tokens=True).items()}
-    spelled = [bytes(code[c] for c in t) if all(c in code for c in t) else t.encode() for t in (names.get(n, "") for n in range(max(names) + 1))]
-    encode = lambda parts: [e.ids for e in library.encode_batch_fast(parts, add_special_tokens=False)]
-    with open(path, encoding="utf-8") as file:
-        front = json.load(file)["pre_tokenizer"]
-    if pattern is None or front["type"] != "ByteLevel" or front["add_prefix_space"] or not front.get("use_regex", True):
-        return Tokenizer(_remembered(lambda t: [t], encode, spelled), spelled)
-    return Tokenizer(_remembered(regex.compile(pattern).findall, encode, spelled), spelled)
+    return Tokenizer(
+        lambda texts: [np.array(e.ids, "<u4") for e in library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], spelled
+    )
 
 
 def pieces(path: str) -> Tokenizer:
-    """A sentence-piece model with byte fallback, which puts the space before the text itself.
-
-    If no piece has a space behind another character, words don't depend on each other and are
-    encoded one by one, each with the spaces before it (the library's own sign for a space is one to it).
-    """
+    """A sentence-piece model with byte fallback, which puts the space before the text itself."""
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [library.id_to_piece(n) for n in range(library.get_piece_size())]
     spelled = [bytes([int(t[3:5], 16)]) if library.is_byte(n) else t.replace("▁", " ").encode() for n, t in enumerate(names)]
-    space = [library.piece_to_id("▁")]
-
-    def encode(parts: list[str]) -> list[list[int]]:
-        return [ids if len(p) > 1 else space for p, ids in zip(parts, library.encode([p[1:] for p in parts], num_threads=1), strict=True)]
-
-    alone = not any("▁" in t.lstrip("▁") for t in names)
-    return Tokenizer(_remembered(re.compile("[ ▁]+[^ ▁]*").findall if alone else lambda t: [t], encode, spelled), spelled)
+    return Tokenizer(lambda texts: [np.array(ids, "<u4") for ids in library.encode(texts, num_threads=1)], spelled)
 
 
 def _byte_code() -> dict[str, int]:
@@ -200,6 +164,9 @@ class Aligner:
             for i, j, n, k, m in zip(cut_signs[:-1], cut_signs[1:], n_groups, cut_links[:-1], cut_links[1:], strict=True)
         ]
 
+    def _spell(self, raw: bytes, ids: tuple[np.ndarray, np.ndarray]) -> bool:
+        return all(b"".join([x.spelled[n] for n in own.tolist()]) == raw for x, own in zip((self.a, self.b), ids, strict=True))
+
     def windows(self, a: np.ndarray, b: np.ndarray) -> list[bytes]:
         """The text's windows: the ids of the first tokenizer, then, marked, those of the second."""
         end_a, end_b = self._length[0][a].cumsum(), self._length[1][b].cumsum()
@@ -221,7 +188,7 @@ class Aligner:
         if len(self.kept) >= MAX_KEPT:
             self.kept.clear()
         both = list(zip(self.a.encode(texts), self.b.encode(texts), strict=True)) if texts else []
-        both = [(a, b) if t and a is not None and b is not None else None for t, (a, b) in zip(texts, both, strict=True)]
+        both = [ids if t and self._spell(b" " + t.encode(), ids) else None for t, ids in zip(texts, both, strict=True)]
         number: dict[bytes, int] = {}
         cut = [[number.setdefault(k, len(number)) for k in self.windows(*ids)] if ids else [] for ids in both]
         distinct = list(number)
