@@ -10,13 +10,17 @@ tokens that each can follow the one before are the encoding. Each transition is
 the change in the number of tokens. States and transitions are made when first met, in tables
 of bounded size; whole pieces that were run lately are kept as one transition.
 
-A text is cut into chunks. A chunk's state map says what it does to any state at its start: the
-part before its first safe cut is still open, from there to its last safe cut the count doesn't
-depend on the start, and the rest is open again. (A safe cut is a space between characters that
-are no blanks; pieces never cross it.) Two maps compose into one by running the open parts
-between them; the composition is associative, and the maps of a text are composed in pairs,
-round by round. Only the maps of one round are kept, so the open parts take the text's size at
-most. Text in which no safe cut is found is joined and run once, when all its chunks are together.
+A text is cut into chunks, and a chunk's map says for each live state at its start which state
+its end has and how many tokens it adds. Maps hold states and counts, no text. They compose
+in pairs, round by round. A chunk ends at a safe cut where it can: a place at which pieces meet
+whatever is around (between two classes of characters, and before the last of some white space).
+The state there is the start state, so the map has one entry. Only inside a run of one class
+that is longer than a chunk there is no such place. There the live state is foretold by reading
+the last characters of the chunk before, as the states of most texts meet after a few tokens.
+Where it was another one, the map gets an entry for it from the chunk itself.
+
+The cuts hold for the pattern of this vocabulary: optional blank and letters, digits or other
+signs, contractions after an apostrophe, white space without its last character.
 
 Special strings in the text count one each, as the file's library has it by default. Null
 text is an empty one and has no tokens. Repeated rows get equal results; other columns of the
@@ -27,9 +31,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from typing import NamedTuple
 
 import pyarrow as pa
 import regex
@@ -38,13 +41,22 @@ from pyspark.sql import DataFrame
 from dockcast.llm.common import slices, texts_of
 
 CHUNK_CHARS = 8192
+LOOK_CHARS = 128
 MAX_STATES = 200_000
 BLOCK = 4096
 FEW = 16
 NONE: frozenset[int] = frozenset()
 MAX_PIECES = 300_000
 MAX_KEPT = 256  # characters of a piece that is kept
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
+_SIGN = r"[^\s\p{L}\p{N}]"
+_CUT = regex.compile(
+    r"(?<=\S)(?=\s)|(?<=.)(?=\s\S)"
+    rf"|(?<=\p{{L}})(?=\p{{N}}|{_SIGN})|(?<=\p{{N}})(?=\p{{L}}|{_SIGN})|(?<={_SIGN})(?=\p{{N}})|(?<=(?!'){_SIGN})(?=\p{{L}})",
+    regex.DOTALL,
+)
+
+
+START = ((b"", -1, 0),)  # the state at a border of pieces
 
 
 class State:
@@ -77,7 +89,6 @@ class Transducer:
     def _reset(self) -> None:
         self.states: dict[tuple, State] = {}
         self.after: dict[tuple[bytes, int], object] = {}
-        self.start = self._state(((b"", -1, 0),))
 
     def _state(self, places: tuple) -> State:
         found = self.states.get(places)
@@ -138,16 +149,21 @@ class Transducer:
         step = state.step[byte] = self._state((*still, (b"", token, 0))), change
         return step
 
-    def count(self, piece: bytes) -> int:
-        state, n = self.start, 0
-        for k in range(0, len(piece), BLOCK):
+    def run(self, places: tuple, text: bytes) -> tuple[tuple, int]:
+        """The state after ``text`` and the tokens added, from the state of these places."""
+        state, n = None, 0
+        for k in range(0, len(text), BLOCK):
             if len(self.states) > MAX_STATES:
                 self._reset()
-                state = self._state(state.open)
-            for byte in piece[k : k + BLOCK]:
+                state = None if state is None else self._state(state.open)
+            state = state or self._state(places)
+            for byte in text[k : k + BLOCK]:
                 state, change = state.step.get(byte) or self._compile(state, byte)
                 n += change
-        return n
+        return places if state is None else state.open, n
+
+    def count(self, piece: bytes) -> int:
+        return self.run(START, piece)[1]
 
 
 class Pieces(dict):
@@ -166,16 +182,47 @@ class Pieces(dict):
         return n
 
 
-class StateMap(NamedTuple):
-    """A chunk: open text before its first safe cut, tokens between cuts, open text after the last.
+class StateMap:
+    """From the state at a chunk's start to the state at its end and the tokens between.
 
-    ``closed`` is False if it has no safe cut; all of it is then in ``head``.
+    ``known`` holds the states met so far; ``extend`` finds the entry of another one.
     """
 
-    head: str
-    count: int
-    tail: str
-    closed: bool
+    __slots__ = ("known", "extend")
+
+    def __init__(self, known: dict[tuple, tuple[tuple, int]], extend: Callable[[tuple], tuple[tuple, int]]):
+        self.known = known
+        self.extend = extend
+
+    def __call__(self, places: tuple) -> tuple[tuple, int]:
+        found = self.known.get(places)
+        if found is None:
+            found = self.known[places] = self.extend(places)
+        return found
+
+
+def compose(left: StateMap, right: StateMap) -> StateMap:
+    """First ``left``, then ``right``; its entries are those that both maps have."""
+
+    def extend(places: tuple) -> tuple[tuple, int]:
+        middle, n = left(places)
+        end, more = right(middle)
+        return end, n + more
+
+    known = {}
+    for places, (middle, n) in left.known.items():
+        then = right.known.get(middle)
+        if then is not None:
+            known[places] = then[0], n + then[1]
+    return StateMap(known, extend)
+
+
+def reduce(maps: list[StateMap]) -> StateMap:
+    """The composition of all, in a logarithmic number of rounds."""
+    while len(maps) > 1:
+        pairs = [compose(a, b) for a, b in zip(maps[::2], maps[1::2], strict=False)]
+        maps = pairs + maps[2 * len(pairs) :]
+    return maps[0]
 
 
 class Counter:
@@ -199,40 +246,37 @@ class Counter:
         tokens = {raw(t): n for t, n in model["vocab"].items() if t not in special}
         return cls(tokens, {(raw(a), raw(b)): k for k, (a, b) in enumerate(pairs)}, pattern, special)
 
-    def _run(self, text: str) -> int:
-        if len(text) > 8 * CHUNK_CHARS:  # not all pieces at a time
-            return sum(self.pieces[found.group()] for found in self._pattern.finditer(text))
-        return sum(map(self.pieces.__getitem__, self._pattern.findall(text)))
-
-    def state_map(self, chunk: str) -> StateMap:
-        first = _SAFE.search(chunk)
-        if first is None:
-            return StateMap(chunk, 0, "", False)
-        a, b = first.start(), _last_cut(chunk)
-        return StateMap(chunk[:a], self._run(chunk[a:b]), chunk[b:], True)
-
-    def compose(self, left: StateMap, right: StateMap) -> StateMap:
-        if not left.closed:
-            # The open texts may make a cut at their seam; leaving it open is right as well.
-            return StateMap(left.head + right.head, right.count, right.tail, right.closed)
-        open_text = left.tail + right.head
-        if right.closed:
-            return StateMap(left.head, left.count + self._run(open_text) + right.count, right.tail, True)
-        return StateMap(left.head, left.count, open_text, True)
-
-    def reduce(self, maps: list[StateMap]) -> StateMap:
-        """The composition of all, in a logarithmic number of rounds."""
-        while len(maps) > 1:
-            pairs = [self.compose(a, b) for a, b in zip(maps[::2], maps[1::2], strict=False)]
-            maps = pairs + maps[2 * len(pairs) :]
-        return maps[0]
+    def inner_map(self, piece: str, a: int, b: int) -> StateMap:
+        """The map of the characters from ``a`` to ``b`` of one piece, with the entry that is foretold."""
+        transducer = self.pieces.transducer
+        extend = lambda places: transducer.run(places, piece[a:b].encode())
+        likely = transducer.run(START, piece[max(0, a - LOOK_CHARS) : a].encode())[0]
+        return StateMap({likely: extend(likely)}, extend)
+
+    def _long(self, piece: str, chunk: int) -> int:
+        maps = [self.inner_map(piece, a, min(a + chunk, len(piece))) for a in range(0, len(piece), chunk)]
+        return reduce(maps)(START)[1]
+
+    def _pieces(self, text: str, chunk: int) -> int:
+        if len(text) <= chunk:
+            return sum(map(self.pieces.__getitem__, self._pattern.findall(text)))
+        found = (m.group() for m in self._pattern.finditer(text))  # not all pieces at a time
+        return sum(self._long(p, chunk) if len(p) > chunk else self.pieces[p] for p in found)
+
+    def chunk_map(self, text: str, a: int, b: int, chunk: int) -> StateMap:
+        """The map of a chunk between safe cuts (or ends of the text)."""
+
+        def extend(places: tuple) -> tuple[tuple, int]:
+            if places != START:
+                raise ValueError("pieces begin at a safe cut")
+            return START, self._pieces(text[a:b], chunk)
+
+        return StateMap({START: extend(START)}, extend)
 
     def _count_plain(self, text: str, chunk: int) -> int:
-        if not text:
-            return 0
-        maps = [self.state_map(text[k : k + chunk]) for k in range(0, len(text), chunk)]
-        whole = self.reduce(maps)
-        return self._run(whole.head) + whole.count + (self._run(whole.tail) if whole.tail else 0)
+        if len(text) <= chunk:
+            return self._pieces(text, chunk)
+        return reduce([self.chunk_map(text, a, b, chunk) for a, b in chunks(text, chunk)])(START)[1]
 
     def count(self, text: str, chunk: int = CHUNK_CHARS) -> int:
         if self._special is None:
@@ -241,15 +285,33 @@ class Counter:
         return len(parts) - 1 + sum(self._count_plain(p, chunk) for p in parts)
 
 
-def _last_cut(chunk: str) -> int:
+def chunks(text: str, chunk: int) -> Iterator[tuple[int, int]]:
+    """Begin and end of chunks that end at the last safe cut they have, else at the next one."""
+    a = 0
+    while a < len(text):
+        b = a + chunk
+        if b < len(text):
+            b = _last_cut(text, a, b) or _next_cut(text, b)
+        yield a, min(b, len(text))
+        a = b
+
+
+def _last_cut(text: str, a: int, b: int) -> int:
+    """The last safe cut behind ``a`` up to ``b``, 0 if there is none."""
     reach = 64
     while True:
-        cuts = [m.start() for m in _SAFE.finditer(chunk, max(0, len(chunk) - reach))]
-        if cuts:
-            return cuts[-1]
+        low = max(a + 1, b - reach)
+        cuts = [m.start() for m in _CUT.finditer(text, low, min(b + 2, len(text))) if m.start() <= b]
+        if cuts or low == a + 1:
+            return cuts[-1] if cuts else 0
         reach *= 2
 
 
+def _next_cut(text: str, b: int) -> int:
+    found = _CUT.search(text, b)
+    return found.start() if found else len(text)
+
+
 def _byte_code() -> dict[str, int]:
     """The printable characters by which such files write bytes."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

@@ -6,6 +6,7 @@ import tracemalloc
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -46,12 +47,51 @@ def test_transducer_equals_library(texts, chunk):
         assert counter.count(text, chunk) == len(library.encode(text, add_special_tokens=False).ids)
 
 
-def test_composition_is_associative():
-    counter = token_count.counter(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
-    a, b, c = (counter.state_map(t) for t in ("one two th", "r", "ee four five"))
-    left, right = counter.compose(counter.compose(a, b), c), counter.compose(a, counter.compose(b, c))
-    total = lambda m: counter._run(m.head) + m.count + counter._run(m.tail)
-    assert total(left) == total(right) == counter.count("one two three four five")
+@pytest.fixture(scope="module")
+def counter():
+    return token_count.Counter.from_json(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def test_every_cut_is_a_border(texts):
+    """Pieces of the parts are the pieces of the whole, at all cuts together and at each alone."""
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    for text in texts:
+        whole = pattern.findall(text)
+        cuts = [0, *(m.start() for m in token_count._CUT.finditer(text)), len(text)]
+        assert [p for a, b in zip(cuts, cuts[1:], strict=False) for p in pattern.findall(text[a:b])] == whole
+        for cut in cuts[1:-1:29]:
+            assert pattern.findall(text[:cut]) + pattern.findall(text[cut:]) == whole
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 64])
+def test_chunks_cover_the_text(texts, chunk):
+    for text in texts:
+        spans = list(token_count.chunks(text, chunk))
+        assert "".join(text[a:b] for a, b in spans) == text and all(a < b for a, b in spans)
+
+
+def test_composition_is_associative_and_holds_no_text(counter):
+    piece = "abcdefgh" * 40 + "zzzz" * 50 + "日本" * 30
+    a, b, c = (counter.inner_map(piece, k, k + 150) for k in (0, 150, 300))
+    compose, start = token_count.compose, token_count.START
+    left, right = compose(compose(a, b), c), compose(a, compose(b, c))
+    want = counter.pieces.transducer.run(start, piece[:450].encode())
+    assert left(start) == right(start) == want
+    longest = max(len(t) for t in counter.pieces.transducer.tokens)
+    for one in (a, b, c, left, right):
+        for before, (after, n) in one.known.items():
+            assert isinstance(n, int) and all(len(begun) < longest for begun, _, _ in (*before, *after))
+
+
+@pytest.mark.parametrize("unit", ["a", "ab", "é", "日", "=", "-", " ", "\n", "9", "zq", "?!"])
+def test_runs_without_a_cut_are_composed(counter, monkeypatch, unit):
+    """Whatever state is foretold, right or wrong, the composition gives the library's count."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for look in (0, 3, 128):
+        monkeypatch.setattr(token_count, "LOOK_CHARS", look)
+        for n in (1, 63, 64, 65, 1000, 3001):
+            for text in (unit * n, "'s" + unit * n, " " + unit * n + "x"):
+                assert counter.count(text, 64) == len(library.encode(text, add_special_tokens=False).ids)
 
 
 @pytest.mark.parametrize("made", ["x9/Qr", "日本語文", "aB3"])
