@@ -29,6 +29,7 @@ from dockcast.session import materialise
 
 SLOTS = 4
 MOVES = 200
+SHARD_ROWS = 2_000_000  # rows of the input per shard: some 400 MB in a worker if all texts differ
 INDEX_SCHEMA = "digest binary, live long, chars long, keep_id long, keep_row long"
 _ARROW = pa.schema([("digest", pa.binary()), *[(c, pa.int64()) for c in ("live", "chars", "keep_id", "keep_row")]])
 _LAST = (1 << 63) - 1
@@ -178,29 +179,57 @@ def _as_index_rows(prints: DataFrame, live: int) -> DataFrame:
     )
 
 
+def _sharded(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` dealt by digest, so that no shard has to hold many more than ``SHARD_ROWS`` digests."""
+    shards = -(-n // SHARD_ROWS)
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(shards, "digest") if shards > usual else rows.repartition("digest")
+
+
 def build_index(prints: DataFrame) -> DataFrame:
     """One row per live digest: number of documents and the one that stays."""
     local = _as_index_rows(prints, 1).mapInArrow(_fold, INDEX_SCHEMA)
-    return local.repartition("digest").mapInArrow(_fold, INDEX_SCHEMA)
+    return _sharded(local, prints.count()).mapInArrow(_fold, INDEX_SCHEMA)
+
+
+def _remaining(held: DataFrame, removed: DataFrame) -> DataFrame:
+    """Index rows of the documents of removed digests that stay, one per digest, id and length."""
+    signed = held.select(*held.columns, F.lit(1).alias("sign")).unionByName(removed.select(*held.columns, F.lit(-1).alias("sign")))
+    counts = signed.groupBy("digest", "doc_id", "chars").agg(
+        F.sum("sign").alias("live"), F.min(F.when(F.col("sign") > 0, F.col("row"))).alias("keep_row")
+    )
+    return counts.where("live > 0").select("digest", "live", "chars", F.col("doc_id").alias("keep_id"), "keep_row")
 
 
-def update_index(index: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
+def update_index(
+    index: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None, members: DataFrame | None = None
+) -> DataFrame:
     """The index after adding and taking away documents (as ``fingerprints`` gives them).
 
-    Digests that no document has any more leave the index. A digest whose kept document was
-    taken away, but which lives on, keeps its length and id until it is built anew; its
-    ``live`` count and membership are exact. Taking away what isn't there changes nothing.
+    Digests that no document has any more leave the index. With ``members``, the fingerprints of
+    the documents the index holds, a digest of which documents are taken away is looked up in
+    that content: a removal counts if such a document (digest, id, length) is there, and the
+    document that stays is chosen anew. The index then equals one that is built of what is left.
+
+    Without ``members`` a removal takes one from the count of its digest, and the length and id of a
+    digest that lives on are those of its last build. Taking away a digest that isn't there
+    changes nothing either way.
     """
     parts = index.select(*_ARROW.names)
     if added is not None:
         parts = parts.unionByName(_as_index_rows(added, 1).mapInArrow(_fold, INDEX_SCHEMA))
-    if removed is not None:
+    if removed is not None and members is not None:
+        columns = ["digest", "doc_id", "chars", "row"]
+        held = members.select(*columns) if added is None else members.select(*columns).unionByName(added.select(*columns))
+        touched = removed.select("digest").distinct()
+        parts = parts.join(touched, "digest", "left_anti").unionByName(_remaining(held.join(touched, "digest", "left_semi"), removed))
+    elif removed is not None:
         gone = removed.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
         parts = parts.unionByName(
             gone.selectExpr("digest", "-n AS live", "0L AS chars", "cast(null AS long) AS keep_id", "0L AS keep_row")
         )
-    ordered = parts.repartition("digest").sortWithinPartitions(F.col("live").desc())
-    return ordered.mapInArrow(_fold, INDEX_SCHEMA)
+    ordered = _sharded(parts, index.count()).sortWithinPartitions(F.col("live").desc())
+    return ordered.select(*_ARROW.names).mapInArrow(_fold, INDEX_SCHEMA)
 
 
 def groups(docs: DataFrame) -> DataFrame:

@@ -70,6 +70,32 @@ def test_index_takes_documents_in_and_out(spark):
     assert live == {hashlib.sha256(b"a").digest(): 1, hashlib.sha256(b"c").digest(): 1}
 
 
+def test_deletion_chooses_anew_among_members(spark):
+    """The index after a change equals one that is built of the documents that are left."""
+    held = [(1, "a b"), (2, "ab"), (2, "ab"), (3, "ab"), (None, "a  b"), (5, "c"), (6, "d"), (7, None), (8, "")]
+    more = [(9, "a   b"), (10, "e"), (10, "e")]
+    gone = [(None, "a  b"), (9, "a   b"), (2, "ab"), (5, "c"), (10, "e"), (77, "d"), (6, "zz"), (7, "")]
+    left = [(1, "a b"), (2, "ab"), (3, "ab"), (6, "d"), (8, ""), (10, "e")]
+    prints = [exact.fingerprints(table(spark, rows)) for rows in (held, more, gone, left)]
+    index = exact.update_index(exact.build_index(prints[0]), *prints[1:3], members=prints[0])
+    plain = lambda d: sorted((bytes(r.digest), r.live, r.chars, r.keep_id) for r in d.collect())
+    assert plain(index) == plain(exact.build_index(prints[3]))
+    again = exact.update_index(index, removed=exact.fingerprints(table(spark, [(1, "a b")])), members=prints[3])
+    assert next(r.keep_id for r in again.collect() if r.digest == hashlib.sha256(b"ab").digest()) == 2
+    emptied = exact.update_index(index, removed=prints[3], members=prints[3])
+    assert emptied.count() == 0 and exact.update_index(emptied, prints[1], members=prints[0].limit(0)).count() == 2
+
+
+def test_shards_grow_with_the_rows(spark, monkeypatch):
+    rows = [(k, f"t{k // 2}") for k in range(600)]
+    prints = exact.fingerprints(table(spark, rows))
+    whole = sorted((bytes(r.digest), r.live, r.keep_id) for r in exact.build_index(prints).collect())
+    monkeypatch.setattr(exact, "SHARD_ROWS", 20)
+    index = exact.build_index(prints)
+    assert index.rdd.getNumPartitions() == 30
+    assert sorted((bytes(r.digest), r.live, r.keep_id) for r in index.collect()) == whole and len(whole) == 300
+
+
 def slow_classes(rows):
     """Component and set size per row number."""
     sets = []
