@@ -140,3 +140,34 @@ def test_evidence_and_curve_against_their_definition():
     n = 5000
     over = 30 * math.exp(2 * rate) + 5 * math.exp(3 * rate) + (n - 35) * math.exp(-0.1 * rate) - n
     assert abs(over) / n < 0.02
+
+
+def test_votes_equal_plain_cosine_products():
+    """Each text against each labelled one, one pair at a time; the axes against a full decomposition."""
+    import math
+
+    import numpy as np
+
+    draw = np.random.default_rng(9)
+    terms, words = neighbours.Terms(), [f"w{k}" for k in range(60)] + ["Big!!", "12%", "x-y"]
+    shares = np.stack([terms.counts(" ".join(draw.choice(words, draw.integers(5, 60)))) for _ in range(130)])
+    rarity = (np.log(101 / (1 + (shares[:100] > 0).sum(axis=0))) + 0.3).astype(np.float32)
+    weighted = neighbours._weights(shares[:100], rarity)
+    axes = neighbours._leading(weighted)
+    exact = np.linalg.svd(weighted.astype(np.float64), compute_uv=True, full_matrices=False)
+    held = np.linalg.norm(weighted @ axes, axis=0)
+    assert np.allclose(held[:10], exact[1][:10], rtol=1e-3) and np.allclose(axes.T @ axes, np.eye(axes.shape[1]), atol=1e-3)
+    vectors = neighbours._unit(weighted @ axes)
+    labels = draw.integers(0, 2, 100).astype(float)
+    model = neighbours.Model(rarity, axes, vectors, labels, float(labels.mean()))
+    asked = np.concatenate([shares[100:], np.zeros((1, neighbours.TERMS), np.float32)])
+    got = neighbours.vote(model, asked)
+    for row, mine in zip(neighbours._weights(asked[:-1], rarity), got, strict=False):
+        v = [float(sum(a * b for a, b in zip(row, axis, strict=True) if a)) for axis in axes.T]
+        size = math.sqrt(sum(x * x for x in v))
+        near = sorted(((sum(a * b for a, b in zip(v, u, strict=True)) / size, y) for u, y in zip(vectors.tolist(), labels, strict=True)), reverse=True)
+        votes = [(max(c, 0.0) ** 8 + 1e-12, y) for c, y in near[: neighbours.NEAREST]]
+        assert mine == pytest.approx(sum(w * y for w, y in votes) / sum(w for w, _ in votes), abs=2e-3)
+    assert got[-1] == model.share
+    same = model._replace(vectors=np.repeat(vectors[:1], 100, axis=0), labels=np.ones(100))
+    assert np.allclose(neighbours.vote(same, asked[:-1]), 1.0)  # ties among equal neighbours
