@@ -158,6 +158,20 @@ def test_inclusive_end_adds_the_midnight_trip(spark):
     assert {(r.date, r.hour_period) for r in kept.filter("hour = 0").collect()} == {(date(2016, 7, 3), "6,21-24")}
 
 
+def test_all_dates_are_clustered_in_the_same_rounds(spark, tables, monkeypatch):
+    asked = []
+    ward = forecast.ward_labels
+    monkeypatch.setattr(forecast, "ward_labels", lambda *a, **k: asked.append(k) or ward(*a, **k))
+    ends = DAY + timedelta(days=4)
+    both = forecast.rolling_forecast(*tables, ends, 2, trace_back_days=3, n_clusters=3, params=FAST)
+    assert asked == [{"by": "_date"}]
+    for day in (ends - timedelta(days=1), ends):
+        alone = forecast.forecast_one_date(*tables, day, trace_back_days=3, n_clusters=3, params=FAST)
+        key = ["s_sta_id", "date", "hour_period", "cluster", "pred"]
+        got = both.predictions.filter(F.col("forecast_date") == F.lit(day)).select(*key)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, alone.predictions.select(*key).collect()))
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 def test_registered_forecasts_run_the_production_model(spark, monkeypatch):
     """Every label has a model of its own, no query passes a smaller one, and both come to their end."""
