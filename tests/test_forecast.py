@@ -9,7 +9,7 @@ from dockcast.catalog import queries
 from dockcast.config import EngineConfig, ForecastParams
 from dockcast.operators.cleaning import split_by_date
 from dockcast.plans import demand, episodes, forecast, run, windows
-from dockcast.schemas import HOUR_PERIODS
+from dockcast.schemas import FEATURES, HOUR_PERIODS
 from dockcast.sources.files import Prepared, save_prepared
 from tests.test_grid import DAY, _random_trips, _station, _trips, _weather_period
 
@@ -83,6 +83,24 @@ def test_shared_windows_equal_windows_of_their_own(spark, tables, closed):
         assert mine.select(other.columns).exceptAll(other).isEmpty() and other.exceptAll(mine.select(other.columns)).isEmpty()
 
 
+def test_rows_of_a_rolling_run_hold_no_features(spark, tables, monkeypatch):
+    """Features are made and binned once per date and bucket, not per station; those of all rows are the same."""
+    days = [DAY + timedelta(days=d) for d in (3, 4)]
+    activity, own = demand.station_activity(tables[0], tables[1]), windows.spans(days, 3, 1)
+    found = {}
+    fit = forecast.fit_predict
+    monkeypatch.setattr(forecast, "fit_predict", lambda rows, *a, **k: found.update(rows=rows, **k) or fit(rows, *a, **k))
+    options = dict(trace_back_days=3, n_clusters=2, params=FAST)
+    thin = forecast.rolling_forecast(*tables, days[-1], 2, **options).predictions
+    assert not set(FEATURES) & set(found["rows"].columns) and found["vectors"].count() <= 2 * windows.axis_rows(own) * len(own)
+    wide = windows.model_rows(activity, *tables[1:], own).select("forecast_date", "s_sta_id", "date", "hour_period", "trip_count", "is_train", *FEATURES)
+    got = found["rows"].join(found["vectors"], found["at"]).select(wide.columns)
+    assert got.count() > 100 and got.exceptAll(wide).isEmpty() and wide.exceptAll(got).isEmpty()
+    monkeypatch.setattr(windows, "MAX_BROADCAST_ROWS", 0)
+    again = forecast.rolling_forecast(*tables, days[-1], 2, **options).predictions
+    assert set(FEATURES) < set(found["rows"].columns) and sorted(map(tuple, again.collect())) == sorted(map(tuple, thin.collect()))
+
+
 def test_rolling_dates_equal_single_dates(spark, tables, tmp_path):
     """Neither the other dates of a run nor a record of models change a prediction."""
     ledger = str(tmp_path / "ledger")
